@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,3 +77,8 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker: tasks that share the worker share what they keep in it."""
+    return sys.modules.setdefault("_folioflow_worker", types.ModuleType("_folioflow_worker")).__dict__
