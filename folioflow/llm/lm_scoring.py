@@ -102,7 +102,7 @@ class _Grams:
         n = lens[self.docs]
         size = int(n.sum() + 2 * len(n))
         self.doc = np.repeat(np.arange(len(n)), n + 2)
-        starts = np.concatenate([[0], np.cumsum(n + 2)[:-1]]).astype(np.int64)
+        starts = np.cumsum(n + 2) - (n + 2)
         x = np.zeros(size, np.uint64)
         inner = np.ones(size, bool)
         inner[starts] = inner[starts + n + 1] = False
@@ -285,7 +285,7 @@ def fit(code: np.ndarray, times: np.ndarray, order: int, uniform: float, iterati
     for _ in range(iterations):
         share = weights[buckets] * p
         share *= (times / share.sum(axis=1))[:, None]
-        sums = np.stack([np.bincount(buckets, share[:, k], _BUCKETS) for k in range(order + 1)], axis=1)
+        sums = np.stack([np.bincount(buckets, share[:, k], _BUCKETS) for k in range(order + 1)], axis=1).astype(np.float64)
         # The uniform estimate keeps a little weight: no word is impossible.
         sums[:, -1] += 1e-6
         weights = np.where(np.bincount(buckets, times, _BUCKETS)[:, None] > 0, sums / np.maximum(sums.sum(axis=1), 1e-300)[:, None], weights)
