@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,15 +30,15 @@ from folioflow.llm.shared import written
 #: The longest n-grams.
 ORDER = 2
 #: Characters in a batch.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 #: Bytes of n-grams that a shard should hold.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Steps in an octave to which estimates are rounded.
 STEPS = 8
 ITERATIONS = 40
 
 _WORD = re.compile(r"\w+")
-_KEEP = 300_000
+_KEEP = 200_000
 _EDGE = np.array([0x5BD1E995, 0x27D4EB2F], np.uint64)  # begin and end of a document
 _SCALE = 1 << 10
 #: Context counts have buckets by their octave, and one for none.
@@ -58,6 +59,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """Whole numbers by planes of their bytes, compressed: high planes of small numbers vanish."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
+
+
+def _unsqueezed(blob: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 def words(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
@@ -69,8 +80,12 @@ def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def row(ids, lens, flat):
         seen = np.array(flat, np.uint64)
-        vocabulary, tokens = np.unique(seen, return_inverse=True)
-        values = [[(part << 32) | at], [ids], [lens], [vocabulary.tobytes()], [tokens.astype(np.uint32).tobytes()]]
+        vocabulary, tokens, times = np.unique(seen, return_inverse=True, return_counts=True)
+        # Frequent words get small numbers.
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        values = [[(part << 32) | at], [ids], [lens], [vocabulary[order].tobytes()], [_squeezed(rank[tokens])]]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
@@ -106,7 +121,7 @@ class _Grams:
         x = np.zeros(size, np.uint64)
         inner = np.ones(size, bool)
         inner[starts] = inner[starts + n + 1] = False
-        x[inner] = np.frombuffer(vocabulary, np.uint64)[np.frombuffer(tokens, np.uint32)]
+        x[inner] = np.frombuffer(vocabulary, np.uint64)[_unsqueezed(tokens, np.uint32)]
         x[starts], x[starts + n + 1] = _EDGE[0], _EDGE[1]
         self.place = np.arange(size) - np.repeat(starts, n + 2)
         self.words = n + 1  # words to predict, with the end
@@ -139,13 +154,25 @@ def _unpacked(blob: bytes, n: int) -> np.ndarray:
     return out
 
 
+def _sent(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending keys, as the steps from one to the next, and their counts."""
+    steps = _squeezed(np.diff(keys, prepend=np.uint64(0)))
+    return np.uint32(len(steps)).tobytes() + steps + _packed(counts)
+
+
+def _received(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(blob, np.uint32, 1)[0])
+    keys = np.cumsum(_unsqueezed(blob[4 : 4 + n], np.uint64), dtype=np.uint64)
+    return keys, _unpacked(blob[4 + n :], len(keys))
+
+
 def _counts(order: int, shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b, lens, vocabulary, tokens in zip(*(batch.column(i).to_pylist() for i in range(4))):
             keys, counts = _Grams(np.array(lens, np.int64), vocabulary, tokens, order).distinct()
             cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1)).tolist()
             rows = [(s, lo, hi) for s, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
-            blobs = [np.uint32(hi - lo).tobytes() + keys[lo:hi].tobytes() + _packed(counts[lo:hi]) for _, lo, hi in rows]
+            blobs = [_sent(keys[lo:hi], counts[lo:hi]) for _, lo, hi in rows]
             columns = [pa.array([s for s, *_ in rows], pa.int32()), pa.array([b] * len(rows), pa.int64()), pa.array(blobs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["shard", "batch", "blob"])
 
@@ -154,9 +181,9 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by shard. For each, the totals; and under batch -1 the number of distinct words."""
 
     def add(shard: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        ns = [int(np.frombuffer(x, np.uint32, 1)[0]) for _, x in rows]
-        keys = np.concatenate([np.frombuffer(x, np.uint64, n, 4) for (_, x), n in zip(rows, ns)])
-        counts = np.concatenate([_unpacked(x[4 + 8 * n :], n) for (_, x), n in zip(rows, ns)])
+        each = [_received(x) for _, x in rows]
+        ns = [len(k) for k, _ in each]
+        keys, counts = (np.concatenate(x) for x in zip(*each))
         distinct, at = np.unique(keys, return_inverse=True)
         sums = np.bincount(at, counts.astype(np.float64)).astype(np.uint64)[at]
         cuts = np.cumsum([0, *ns]).tolist()
@@ -318,7 +345,7 @@ def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", order: in
         raise ValueError("order must be 1, 2 or 3")
     source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("t"))
     staged = written(source.mapInArrow(_tokenised, "batch bigint, ids array<bigint>, lens array<int>, vocabulary binary, tokens binary"), "words")
-    size = staged.select(F.sum(F.length("tokens") / 4), F.sum(F.expr("aggregate(lens, 0L, (n, x) -> n + if(x > 0, x + 1, 0))"))).first()
+    size = staged.select(F.sum(F.expr("aggregate(lens, 0L, (n, x) -> n + x)")), F.sum(F.expr("aggregate(lens, 0L, (n, x) -> n + if(x > 0, x + 1, 0))"))).first()
     tokens, n_words = int(size[0] or 0), int(size[1] or 0)
     cores = docs.sparkSession.sparkContext.defaultParallelism
     shards = max(cores, math.ceil(9 * tokens * order / SHARD_BYTES))
