@@ -5,6 +5,434 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioflow.functions import text as X
+from folioflow.operators import checks, ordered, sequential
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_WORDS = r"list_filter(string_split(trim(regexp_replace(regexp_replace(text, '[^\p{L} \t\r\n]', '', 'g'), '[ \t\r\n]+', ' ', 'g')), ' '), lambda w: w <> '')"
+_LINES = "list_filter(list_transform(string_split(text, chr(10)), lambda s: trim(s)), lambda s: s <> '')"
+_LEXICON = f"select distinct unnest({_WORDS}) as word from documents where doc_id in (select doc_id from labels where quality = 1)"
+
+
+def _lexicon(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    good = docs.join(labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    return good.select(F.explode(X.words(F.col("text"))).alias("word")).distinct()
+
+
+@_query(f"""
+    with w as (select doc_id, unnest({_WORDS}) as word from documents where doc_id not in (select doc_id from labels where doc_id is not null))
+    select word, count(*) as n, min(doc_id) as first_seen from w where word not in ({_LEXICON}) group by word order by n desc, first_seen, word limit 50
+""")
+def lexicon_outliers(spark, sf_dir):
+    """The commonest words of unlabelled documents that no good document has."""
+    docs, labels = _t(spark, sf_dir, "documents").select("doc_id", "text"), _t(spark, sf_dir, "labels")
+    words = docs.join(labels.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.explode(X.words(F.col("text"))).alias("word"))
+    counts = words.groupBy("word").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_seen"))
+    return counts.join(_lexicon(docs, labels), "word", "left_anti").orderBy(F.desc("n"), "first_seen", "word").limit(50)
+
+
+@_query(f"select doc_id, cast(len({_LINES}) as int) as n_lines from documents")
+def doc_line_counts(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.size(X.lines(F.col("text"))).alias("n_lines"))
+
+
+@_query(f"select doc_id from documents where len({_LINES}) = 1")
+def single_line_docs(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").where(F.size(X.lines(F.col("text"))) == 1).select("doc_id")
+
+
+@_query(f"""
+    with d as (select doc_id, {_WORDS} as ws from documents)
+    select doc_id, cast(len(ws) as int) as n_words, len(list_filter(ws, lambda w: length(w) <= 2)) / len(ws) as short_share
+    from d where len(ws) >= 12 and len(list_filter(ws, lambda w: length(w) <= 2)) / len(ws) > 0.6
+""")
+def fragment_share_flags(spark, sf_dir):
+    """Documents of twelve words and more of which over 60 % have at most two letters."""
+    words = _t(spark, sf_dir, "documents").select("doc_id", X.words(F.col("text")).alias("ws")).where(F.size("ws") >= 12)
+    share = F.size(F.filter("ws", lambda w: F.length(w) <= 2)) / F.size("ws")
+    return words.select("doc_id", F.size("ws").alias("n_words"), share.alias("short_share")).where("short_share > 0.6")
+
+
+@_query(f"""
+    with w as (select doc_id, unnest({_WORDS}) as word from documents), l as ({_LEXICON})
+    select doc_id, count(*) as n_words, avg(case when l.word is null then 0.0 else 1.0 end) as known_share
+    from w left join l using (word) group by doc_id having count(*) >= 12 and avg(case when l.word is null then 0.0 else 1.0 end) < 0.4
+""")
+def known_word_share(spark, sf_dir):
+    """Documents of twelve words and more of which under 40 % are words of good documents."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = _lexicon(docs, _t(spark, sf_dir, "labels")).withColumn("known", F.lit(1.0))
+    words = docs.select("doc_id", F.explode(X.words(F.col("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("k"))
+    found = words.join(lexicon, "word", "left").groupBy("doc_id")
+    share = (F.sum(F.col("k") * F.coalesce("known", F.lit(0.0))) / F.sum("k")).alias("known_share")
+    return found.agg(F.sum("k").alias("n_words"), share).where("n_words >= 12 and known_share < 0.4")
+
+
+@_query(f"""
+    select source, line, count(*) as n from (select source, unnest({_LINES}) as line from documents)
+    where length(line) < 101 group by source, line having count(*) > 2
+""")
+def running_headers(spark, sf_dir):
+    """Short lines that a source has more than twice."""
+    found = _t(spark, sf_dir, "documents").select("source", F.explode(X.lines(F.col("text"))).alias("line")).where(F.length("line") < 101)
+    return found.groupBy("source", "line").agg(F.count("*").alias("n")).where("n > 2")
+
+
+@_query("""
+    select lang, source, n / sum(n) over (partition by source) as share from (select source, lang, count(*) as n from documents group by 1, 2)
+    qualify n / sum(n) over (partition by source) >= 0.3
+""")
+def dominant_category(spark, sf_dir):
+    return checks.dominant(_t(spark, sf_dir, "documents"), "source", "lang", 0.3)
+
+
+@_query("select lang, source, count(*) as n from documents group by lang, source")
+def category_counts(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"))
+
+
+@_query("""
+    select o_orderkey, coalesce(max(l_linenumber), 0) as declared, count(l_linenumber) as actual from orders left join lineitem on l_orderkey = o_orderkey
+    group by o_orderkey having coalesce(max(l_linenumber), 0) <> count(l_linenumber)
+""")
+def declared_vs_actual(spark, sf_dir):
+    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_linenumber").alias("declared"), F.count("*").alias("actual"))
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey")
+    found = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    return found.select("o_orderkey", F.coalesce("declared", F.lit(0)).alias("declared"), F.coalesce("actual", F.lit(0).cast("bigint")).alias("actual")).where("declared <> actual")
+
+
+@_query("select l_orderkey, l_linenumber, p_partkey, p_name from lineitem join part on l_partkey = p_partkey")
+def reference_resolution(spark, sf_dir):
+    lines, parts = _t(spark, sf_dir, "lineitem"), _t(spark, sf_dir, "part")
+    return lines.join(parts, lines.l_partkey == parts.p_partkey).select("l_orderkey", "l_linenumber", "p_partkey", "p_name")
+
+
+@_query("select o_orderkey, o_custkey from orders where o_orderkey not in (select l_orderkey from lineitem)")
+def unreferenced_orders(spark, sf_dir):
+    orders, lines = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+    return checks.unresolved(orders, lines, orders.o_orderkey == lines.l_orderkey).select("o_orderkey", "o_custkey")
+
+
+@_query("select min(doc_id) as doc_id, count(*) as n_merged from documents group by lang, text")
+def keep_first_dedupe(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", F.md5("text").alias("body"))
+    return docs.groupBy("lang", "body").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_merged")).select("doc_id", "n_merged")
+
+
+@_query("""
+    select doc_id, '/' || lang || '/' || winner as url from (select doc_id, lang, min(doc_id) over (partition by lang, text) as winner from documents)
+    where doc_id <> winner
+""")
+def redirect_map(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang", F.md5("text").alias("body"))
+    found = checks.keep_first(docs, ["lang", "body"], ["doc_id"], "doc_id").where("doc_id <> winner")
+    return found.select("doc_id", F.concat(F.lit("/"), "lang", F.lit("/"), F.col("winner").cast("string")).alias("url"))
+
+
+_SLUG = "regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+
+
+@_query(f"""
+    select p_partkey, case when n = 1 then base else base || '-' || n end as slug
+    from (select p_partkey, base, row_number() over (partition by base order by p_partkey) as n from (select p_partkey, {_SLUG} as base from part))
+""")
+def slug_collisions(spark, sf_dir):
+    parts = _t(spark, sf_dir, "part").select("p_partkey", X.slug(F.col("p_name")).alias("base"))
+    return checks.suffixed(parts, "base", ["p_partkey"]).select("p_partkey", "slug")
+
+
+def _line_split(spark, sf_dir):
+    rows = _t(spark, sf_dir, "documents").select("lang", F.explode(X.lines(F.col("text"))).alias("line"))
+    return rows.where("lang in ('en', 'fr')").select("line"), rows.where("lang not in ('en', 'fr')").select("line")
+
+
+_SPLIT = f"(select lang, unnest({_LINES}) as line from documents)"
+
+
+@_query(f"select line from {_SPLIT} where lang in ('en', 'fr') except all select line from {_SPLIT} where lang not in ('en', 'fr')")
+def multiset_lost(spark, sf_dir):
+    return checks.lost(*_line_split(spark, sf_dir))
+
+
+@_query(f"""
+    with a as (select line, count(*) as n_source from {_SPLIT} where lang in ('en', 'fr') group by 1),
+         b as (select line, count(*) as n_emitted from {_SPLIT} where lang not in ('en', 'fr') group by 1)
+    select b.line, coalesce(n_source, 0) as n_source, n_emitted from b left join a using (line) where n_emitted > coalesce(n_source, 0)
+""")
+def multiset_doubled(spark, sf_dir):
+    source, emitted = _line_split(spark, sf_dir)
+    return checks.doubled(source, emitted, "line")
+
+
+_PAIRED = """
+    i as (select *, sum(case when role = 'assistant' then 0 else 1 end) over (partition by conv_id order by turn) as island from conversations),
+    a as (select *, row_number() over (partition by conv_id, island order by turn) - 1 as place from i),
+    p as (select *, cast(sum(case when place % 2 = 0 then 1 else 0 end) over (partition by conv_id order by turn) as bigint) as pair from a),
+    h as (select conv_id, turn, pair, count(*) over (partition by conv_id, pair) = 1 as half from p)
+"""
+
+
+def _paired(spark, sf_dir):
+    return ordered.paired(_t(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], F.col("role") == "assistant")
+
+
+@_query(f"with {_PAIRED} select conv_id, turn, pair, half from h")
+def greedy_pairs(spark, sf_dir):
+    return _paired(spark, sf_dir).select("conv_id", "turn", "pair", "half")
+
+
+@_query(f"""
+    with {_PAIRED}, d as (select distinct conv_id, pair, half from h),
+    n as (select *, case when half is not distinct from lag(half) over (partition by conv_id order by pair) then 0 else 1 end as new from d),
+    r as (select *, sum(new) over (partition by conv_id order by pair) as run from n),
+    j as (select *, half and row_number() over (partition by conv_id, run order by pair) % 2 = 0 as joins from r)
+    select conv_id, pair, half, cast(sum(case when joins then 0 else 1 end) over (partition by conv_id order by pair) as bigint) as merged from j
+""")
+def orphan_merge(spark, sf_dir):
+    pairs = _paired(spark, sf_dir).select("conv_id", "pair", "half").distinct()
+    return ordered.halves_merged(pairs, ["conv_id"]).select("conv_id", "pair", "half", "merged")
+
+
+_KIND = """case when regexp_matches(line, '^[*۰-]{2,}$') then 'separator' when regexp_matches(line, '^[0-9۰-۹۔. \t]+\\z') then 'toc' when length(line) >= 101 then 'prose'
+    when length(line) between 15 and 62 then 'verse' when length(line) between 63 and 100 then 'run_together' else 'unknown' end"""
+_KINDS = f"""k as (select doc_id, idx, {_KIND} as kind from (select doc_id, unnest(ls) as line, unnest(range(len(ls))) as idx from (select doc_id, {_LINES} as ls from documents)))"""
+
+
+def _kinds(spark, sf_dir):
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(X.lines(F.col("text"))).alias("idx", "line"))
+    return rows.select("doc_id", "idx", X.line_kind(F.col("line")).alias("kind"))
+
+
+@_query(f"with {_KINDS} select kind, count(*) as n from k group by kind")
+def line_kinds(spark, sf_dir):
+    return _kinds(spark, sf_dir).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@_query(f"""
+    with {_KINDS}, n as (select *, case when kind is not distinct from lag(kind) over (partition by doc_id order by idx) then 0 else 1 end as new from k),
+    r as (select *, sum(new) over (partition by doc_id order by idx) as run from n),
+    s as (select doc_id, run, kind as k, count(*) as size from r group by 1, 2, 3),
+    b as (select *, lag(k) over (partition by doc_id order by run) = 'verse' and lead(k) over (partition by doc_id order by run) = 'verse' as between_ from s)
+    select r.doc_id, cast(r.idx as int) as idx, r.kind,
+           case when between_ and (k = 'unknown' or k = 'prose' and size <= 1) then 'verse' else k end as bridged
+    from r join b on r.doc_id = b.doc_id and r.run = b.run
+""")
+def enclosure_bridge(spark, sf_dir):
+    return ordered.bridged(_kinds(spark, sf_dir), ["doc_id"], ["idx"])
+
+
+@_query("""
+    select conv_id, turn, last_value(case when role = 'system' then turn end ignore nulls) over (partition by conv_id order by turn rows between unbounded preceding and current row) as system_turn
+    from conversations
+""")
+def forward_fill_role(spark, sf_dir):
+    rows = _t(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return ordered.carried(rows, ["conv_id"], ["turn"], F.when(F.col("role") == "system", F.col("turn")), "system_turn").drop("role")
+
+
+@_query("""
+    with n as (select conv_id, turn, role, case when role is not distinct from lag(role) over w and row_number() over w > 1 then 0 else 1 end as new from conversations window w as (partition by conv_id order by turn)),
+    r as (select *, cast(sum(new) over (partition by conv_id order by turn) as bigint) as run from n)
+    select conv_id, run, role, min(turn) as first_turn, count(*) as size from r group by 1, 2, 3
+""")
+def consecutive_groups(spark, sf_dir):
+    rows = ordered.runs(_t(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), ["conv_id"], ["turn"], "role", "run")
+    return rows.groupBy("conv_id", "run", "role").agg(F.min("turn").alias("first_turn"), F.count("*").alias("size"))
+
+
+_GOOD = " and ".join(
+    f"coalesce(lead(length(text) between 15 and 600, {k}) over w and lead(role = 'assistant', {k}) over w = {str(k % 2 == 1).lower()}, false)" for k in range(4)
+)
+
+
+@_query(f"""
+    select conv_id, coalesce(min(case when good then turn end), count(*)) as start from
+    (select conv_id, turn, {_GOOD} as good from conversations window w as (partition by conv_id order by turn)) group by conv_id
+""")
+def body_start(spark, sf_dir):
+    rows = _t(spark, sf_dir, "conversations")
+    return ordered.body_start(rows, ["conv_id"], "turn", F.length("text").between(15, 600), F.col("role") == "assistant")
+
+
+@_query("""
+    select n_name, coalesce(lag(n_name) over w, last_value(n_name) over (w rows between unbounded preceding and unbounded following)) as previous,
+           coalesce(lead(n_name) over w, first_value(n_name) over (w rows between unbounded preceding and unbounded following)) as next
+    from nation window w as (order by n_name)
+""")
+def circular_nav(spark, sf_dir):
+    return ordered.neighbours(_t(spark, sf_dir, "nation").select("n_name"), ["n_name"], "n_name", circular=True)
+
+
+@_query("""
+    select conv_id, turn, lag(turn) over w as previous, lead(turn) over w as next from conversations window w as (partition by conv_id order by turn)
+""")
+def linear_nav(spark, sf_dir):
+    return ordered.neighbours(_t(spark, sf_dir, "conversations").select("conv_id", "turn"), ["turn"], "turn", ["conv_id"])
+
+
+@_query(r"""
+    select page_id, regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '!\[[^\]]*\]\([^)]*\)', '', 'g'), '<[^>]*>', '', 'g'),
+           chr(160), ' '), 'ـ', ''), '[ \t\r\n]+', '', 'g') as plain from pages
+""")
+def html_normalized(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", X.without_tags(F.col("html")).alias("plain"))
+
+
+@_query()
+def html_cleaned(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", X.cleaned(F.col("html")).alias("plain"))
+
+
+@_query("select regexp_extract(url, '://([^/]+)', 1) as domain, count(*) as n from pages group by 1")
+def url_domains(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").groupBy(F.regexp_extract("url", "://([^/]+)", 1).alias("domain")).agg(F.count("*").alias("n"))
+
+
+def _contained(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    items = _t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"))
+    # No equality to join on. Spark broadcasts the side that its limit lets it, and else takes the Cartesian product.
+    return docs.join(items, F.col("text").contains(F.col("needle"))).select("doc_id", "item_id")
+
+
+@_query("select doc_id, item_id from documents d join benchmark b on contains(d.text, b.text)")
+def benchmark_containment(spark, sf_dir):
+    return _contained(spark, sf_dir)
+
+
+@_query("""
+    select (select count(distinct item_id) from documents d join benchmark b on contains(d.text, b.text)) as matched, (select count(*) from benchmark) as total,
+           (select count(distinct item_id) from documents d join benchmark b on contains(d.text, b.text)) >= 1 as holds
+""")
+def coverage_floor(spark, sf_dir):
+    """How many benchmark passages occur in the documents, and whether at least one does."""
+    matched = _contained(spark, sf_dir).agg(F.countDistinct("item_id").alias("matched"))
+    return matched.crossJoin(_t(spark, sf_dir, "benchmark").agg(F.count("*").alias("total"))).withColumn("holds", F.col("matched") >= 1)
+
+
+@_query(f"""
+    with l as (select doc_id, {_LINES} as ls from documents), f as (select doc_id, list_filter(ls, lambda s: not starts_with(s, '![')) as ls from l),
+    p as (select doc_id, string_split(regexp_replace(ls[1], '[ \t\r]+', ' ', 'g'), ' ') as ps from f)
+    select doc_id, array_to_string(ps[1:13], ' ') || case when len(ps) > 13 then ' …' else '' end as incipit from p
+""")
+def incipit(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", X.incipit(F.col("text")).alias("incipit"))
+
+
+@_query(f"select doc_id, ls[1] as first_line, ls[2] as second_line from (select doc_id, {_LINES} as ls from documents)")
+def first_two_lines(spark, sf_dir):
+    rows = _t(spark, sf_dir, "documents").select("doc_id", X.lines(F.col("text")).alias("ls"))
+    return rows.select("doc_id", F.get("ls", F.lit(0)).alias("first_line"), F.get("ls", F.lit(1)).alias("second_line"))
+
+
+@_query(r"""
+    select doc_id from documents
+    where contains(trim(regexp_replace(translate(regexp_replace(nfc_normalize(text), '\p{M}+', '', 'g'), 'يكىةأإ', 'یکیہاا'), '[ \t\r\n]+', ' ', 'g')), 'the')
+""")
+def folded_search(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").where(X.folded(F.col("text")).contains("the")).select("doc_id")
+
+
+@_query("""
+    with w as (select doc_id, text, min(doc_id) over (partition by text) as winner from documents)
+    select w.doc_id, case when f.doc_id is not null then 'refused' when winner <> w.doc_id then 'skipped' else 'new' end as status
+    from w left join (select distinct doc_id from labels where quality = 0) f on f.doc_id = w.doc_id
+""")
+def publish_status(spark, sf_dir):
+    """Later copies are there already; documents of low quality are refused."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("body"))
+    archive = checks.keep_first(docs, ["body"], ["doc_id"], "doc_id").where("rank > 1").select("doc_id", "body")
+    flagged = _t(spark, sf_dir, "labels").where("quality = 0")
+    return checks.publish_status(docs, flagged, archive, "doc_id", "body").select("doc_id", "status")
+
+
+@_query("""
+    select conv_id, left(sha256(string_agg(concat_ws('␟', coalesce(cast(turn as varchar), ''), coalesce(role, ''), coalesce(text, '')), chr(10) order by turn)), 16) as digest
+    from conversations group by conv_id
+""")
+def segmentation_digest(spark, sf_dir):
+    return checks.digest(_t(spark, sf_dir, "conversations"), ["conv_id"], "turn", ["turn", "role", "text"])
+
+
+@_query("""
+    with u as (select conv_id, turn, row_number() over (partition by conv_id order by turn) as rn, count(*) over (partition by conv_id) as n from conversations where role = 'user'),
+    a as (select conv_id, turn, row_number() over (partition by conv_id order by turn) as rn, count(*) over (partition by conv_id) as n from conversations where role = 'assistant')
+    select u.conv_id, u.turn as asked, a.turn as answered from u join a on u.conv_id = a.conv_id and u.rn = a.rn and u.n = a.n
+""")
+def positional_zip(spark, sf_dir):
+    """Questions and answers by position, in conversations that have as many of each."""
+    from pyspark.sql import Window
+
+    rows = _t(spark, sf_dir, "conversations")
+    whole = Window.partitionBy("conv_id", "role")
+    rows = rows.withColumns({"rn": F.row_number().over(whole.orderBy("turn")), "n": F.count("*").over(whole)})
+    asked = rows.where("role = 'user'").select("conv_id", "rn", "n", F.col("turn").alias("asked"))
+    answered = rows.where("role = 'assistant'").select("conv_id", "rn", "n", F.col("turn").alias("answered"))
+    return asked.join(answered, ["conv_id", "rn", "n"]).select("conv_id", "asked", "answered")
+
+
+@_query(f"""
+    with o as (select distinct left(trim(regexp_replace(regexp_replace(text, '[^\\p{{L}} \t\r\n]', '', 'g'), '[ \t\r\n]+', ' ', 'g')), 24) as opening from benchmark),
+    l as (select doc_id, left(trim(regexp_replace(regexp_replace(line, '[^\\p{{L}} \t\r\n]', '', 'g'), '[ \t\r\n]+', ' ', 'g')), 24) as opening
+          from (select doc_id, unnest({_LINES}) as line from documents))
+    select doc_id, count(*) as n_lines, sum(case when o.opening is null then 0 else 1 end) / count(*) as opening_share
+    from l left join o on l.opening = o.opening and length(o.opening) = 24 group by doc_id having sum(case when o.opening is null then 0 else 1 end) / count(*) > 0.5
+""")
+def opening_share(spark, sf_dir):
+    """Documents over half of whose lines begin as a benchmark passage does."""
+    openings = _t(spark, sf_dir, "benchmark").select(F.substring(X.skeleton(F.col("text")), 1, 24).alias("opening")).where(F.length("opening") == 24).distinct()
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.explode(X.lines(F.col("text"))).alias("line"))
+    rows = rows.select("doc_id", F.substring(X.skeleton(F.col("line")), 1, 24).alias("opening")).join(openings.withColumn("hit", F.lit(1)), "opening", "left")
+    found = rows.groupBy("doc_id").agg(F.count("*").alias("n_lines"), (F.count("hit") / F.count("*")).alias("opening_share"))
+    return found.where("opening_share > 0.5")
+
+
+@_query("""
+    select max(cast(n as bigint)) as largest from (select unnest(regexp_extract_all(text, '[0-9]+')) as n from documents) where length(n) <= 18
+""")
+def largest_number(spark, sf_dir):
+    found = _t(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]+"), 0)).alias("n")).where(F.length("n") <= 18)
+    return found.agg(F.max(F.col("n").cast("bigint")).alias("largest"))
+
+
+@_query("select n_name, n_regionkey, cast(row_number() over (partition by n_regionkey order by n_name) as int) as rank, r_name from nation join region on n_regionkey = r_regionkey")
+def ranked_listing(spark, sf_dir):
+    from pyspark.sql import Window
+
+    rows = _t(spark, sf_dir, "nation").join(_t(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rank = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_name"))
+    return rows.select("n_name", "n_regionkey", rank.alias("rank"), "r_name")
+
+
+@_query()
+def collated_listing(spark, sf_dir):
+    """Parts in the order of Urdu's alphabet."""
+    return _t(spark, sf_dir, "part").select("p_partkey", "p_name").orderBy(F.expr("p_name collate ur"), "p_partkey")
+
+
+@_query()
+def poem_split(spark, sf_dir):
+    """The turns of each conversation, two by two, parted into poems by rhyme."""
+    pairs = _paired(spark, sf_dir).groupBy("conv_id", "pair").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("p"))
+    rows = pairs.select(F.col("conv_id").cast("string").alias("book_slug"), F.col("pair").cast("int").alias("idx"), F.col("p")[0]["text"].alias("first"), F.get("p", F.lit(1))["text"].alias("second"))
+    return sequential.split_poems(rows)
