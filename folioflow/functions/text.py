@@ -26,7 +26,7 @@ def words(text: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """The lines that aren't blank, trimmed."""
-    return F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 @F.pandas_udf(T.StringType())

@@ -28,10 +28,10 @@ def posts(spark: SparkSession, path: str) -> DataFrame:
 def front_matter(spark: SparkSession, path: str) -> DataFrame:
     """(path, fields, body) of markdown files that begin with fields between lines of three hyphens."""
     whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    parts = F.split("value", r"(?m)^---[ \t]*$", 3)
-    pairs = F.filter(F.split(parts[1], "\n"), lambda s: s.contains(":"))
+    form = r"(?s)\A---[ \t]*\r?\n(.*?)\r?\n---[ \t]*(?:\r?\n(.*))?\z"
+    pairs = F.filter(F.split(F.regexp_extract("value", form, 1), "\r?\n"), lambda s: s.contains(":"))
     entries = F.transform(pairs, lambda s: F.struct(F.trim(F.substring_index(s, ":", 1)), F.trim(F.regexp_replace(s, r"^[^:]*:\s*", ""))))
-    return whole.select("path", F.map_from_entries(entries).alias("fields"), F.trim(parts[2]).alias("body"))
+    return whole.select("path", F.map_from_entries(entries).alias("fields"), F.trim(F.when(F.col("value").rlike(form), F.regexp_extract("value", form, 2)).otherwise(F.col("value"))).alias("body"))
 
 
 def redirects(spark: SparkSession, path: str) -> DataFrame:
