@@ -128,15 +128,16 @@ class Found(NamedTuple):
 
 
 def _automaton():
+    """Keywords to their lengths and the numbers of their rules: a worker's next task has rules of its own."""
     cache = worker_cache()
     if "secrets" not in cache:
         import ahocorasick
 
         found = ahocorasick.Automaton()
-        by_word: dict[str, list[Rule]] = {}
-        for rule in RULES:
+        by_word: dict[str, list[int]] = {}
+        for n, rule in enumerate(RULES):
             for word in rule.keywords:
-                by_word.setdefault(word, []).append(rule)
+                by_word.setdefault(word, []).append(n)
         for word, rules in by_word.items():
             found.add_word(word, (len(word), rules))
         found.make_automaton()
@@ -159,13 +160,14 @@ def scan(text: str | None) -> list[Found]:
         low = text.translate(_LOWER)
     found = {}
     for last, (size, rules) in _automaton().iter(low):
-        for rule in rules:
+        for n in rules:
+            rule = RULES[n]
             if m := rule.pattern.match(text, last + 1 - size):
                 group = "v" if "v" in rule.pattern.groupindex else 0
                 value = m[group]
                 if rule.valid and not rule.valid(value) or rule.kind == "assignment" and _placeholder(value):
                     continue
-                found[m.start(group), RULES.index(rule)] = Found(rule.kind, *m.span(group), rule.kind in _CHECKED)
+                found[m.start(group), n] = Found(rule.kind, *m.span(group), rule.kind in _CHECKED)
     out, end = [], 0
     for _, one in sorted(found.items()):
         if one.start >= end:
