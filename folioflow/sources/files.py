@@ -27,7 +27,7 @@ def posts(spark: SparkSession, path: str) -> DataFrame:
 
 def front_matter(spark: SparkSession, path: str) -> DataFrame:
     """(path, fields, body) of markdown files that begin with fields between lines of three hyphens."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     form = r"(?s)\A---[ \t]*\r?\n(.*?)\r?\n---[ \t]*(?:\r?\n(.*))?\z"
     pairs = F.filter(F.split(F.regexp_extract("value", form, 1), "\r?\n"), lambda s: s.contains(":"))
     entries = F.transform(pairs, lambda s: F.struct(F.trim(F.substring_index(s, ":", 1)), F.trim(F.regexp_replace(s, r"^[^:]*:\s*", ""))))
@@ -36,7 +36,7 @@ def front_matter(spark: SparkSession, path: str) -> DataFrame:
 
 def redirects(spark: SparkSession, path: str) -> DataFrame:
     """(post_id, url) of a JSON object from ids to addresses."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "map<string, string>")).alias("id", "url")).select(F.col("id").cast("bigint").alias("post_id"), "url")
 
 
