@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,8 +153,8 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html", min_pages:
     keyed = pages.select(_host(url).alias("host"), F.xxhash64(F.col(f"`{html}`")).alias("page"), F.col(f"`{html}`").alias("html"))
     hashed = keyed.where("host is not null and html is not null").mapInArrow(_hashed, "host string, page bigint, hashes array<bigint>")
     each = hashed.select("host", "page", F.explode("hashes").alias("h")).distinct()
-    often = each.groupBy("host", "h").agg(F.collect_list("page").alias("pages")).where(F.size("pages") >= min_pages)
-    return often.select("host", "h", F.explode("pages").alias("page")).groupBy("host", "page").agg(F.sort_array(F.collect_list("h")).alias("drop"))
+    often = each.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "h")
+    return each.join(often, ["host", "h"], "left_semi").groupBy("host", "page").agg(F.sort_array(F.collect_list("h")).alias("drop"))
 
 
 def _host(url: str):
@@ -161,12 +162,19 @@ def _host(url: str):
     return F.when(found != "", found)
 
 
+@F.pandas_udf(T.BinaryType())
+def _squeezed(pages):
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return pages.map(lambda t: None if t is None else squeeze(t.encode()))
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    expand = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         n = batch.num_columns
         out = []
         for page, drop in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist()):
-            out.append(None if page is None else parse(page, frozenset(drop or ()))[0])
+            out.append(None if page is None else parse(expand(page).decode(), frozenset(drop or ()))[0])
         columns = [batch.column(i) for i in range(n - 2)] + [pa.array(out, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[: n - 2], "text"])
 
@@ -183,7 +191,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: i
     rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c in (url, html) or c.lower() not in ("host", "text")])
     kept = [c for c in without(pages, "host", "text").columns if c in kept]
     host, page, drop = fresh(rows, "__host", "__page", "__drop")
-    keyed = rows.withColumns({host: _host(url), page: F.xxhash64(F.col(f"`{html}`"))})
+    # The pages move once, to meet what is dropped from them, and compressed well.
+    keyed = rows.withColumns({host: _host(url), page: F.xxhash64(F.col(f"`{html}`"))}).withColumn(html, _squeezed(F.col(f"`{html}`")))
     known = templates(pages, url, html, min_pages).toDF(host, page, drop)
     joined = keyed.join(known, [host, page], "left")
     columns = [F.col(f"`{c}`") for c in kept] + ([F.col(f"`{url}`")] if url.lower() not in ("host", "text") else [])
