@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.llm.shared import fresh, without
+from folioflow.llm.shared import fresh, without, written
 
 #: Different pages of a host on which a subtree has to occur to be part of the template.
 MIN_PAGES = 5
@@ -142,19 +142,30 @@ def parse(page: str, drop: frozenset[int] = frozenset()) -> tuple[str, set[int]]
     return "\n".join(x for x in lines if x), seen
 
 
+def _of(host: str) -> int:
+    return xxhash.xxh3_64_intdigest(host) - (1 << 63)
+
+
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of each page, mixed with its host's: those of two hosts are different."""
     for batch in batches:
-        rows = [sorted(parse(t or "")[1]) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["host", "page", "hashes"])
+        pages = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+        rows = [[h ^ of for h in sorted(parse(t)[1])] for t, of in ((t, _of(host)) for host, t in pages)]
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["page", "hashes"])
 
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, page, drop): for each different page of a host, by its hash, which of its subtrees belong to the template."""
-    keyed = pages.select(_host(url).alias("host"), F.xxhash64(F.col(f"`{html}`")).alias("page"), F.col(f"`{html}`").alias("html"))
-    hashed = keyed.where("host is not null and html is not null").mapInArrow(_hashed, "host string, page bigint, hashes array<bigint>")
-    each = hashed.select("host", "page", F.explode("hashes").alias("h")).distinct()
-    often = each.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "h")
-    return each.join(often, ["host", "h"], "left_semi").groupBy("host", "page").agg(F.sort_array(F.collect_list("h")).alias("drop"))
+    """(page, drop): for each different page of a host, by the hash of both, which subtrees belong to the template. The
+    hashes in drop are mixed with the host's."""
+    keyed = pages.select(_host(url).alias("host"), _page(url, html).alias("page"), F.col(f"`{html}`").alias("html"))
+    hashed = keyed.where("host is not null and html is not null").mapInArrow(_hashed, "page bigint, hashes array<bigint>")
+    flat = written(hashed.dropDuplicates(["page"]), "subtrees").select("page", F.explode("hashes").alias("h"))
+    often = flat.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("h")
+    return flat.join(often, "h", "left_semi").groupBy("page").agg(F.sort_array(F.collect_list("h")).alias("drop"))
+
+
+def _page(url: str, html: str):
+    return F.xxhash64(_host(url), F.col(f"`{html}`"))
 
 
 def _host(url: str):
@@ -173,8 +184,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_columns
         out = []
-        for page, drop in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist()):
-            out.append(None if page is None else parse(expand(page).decode(), frozenset(drop or ()))[0])
+        for host, page, drop in zip(*(batch.column(n - k).to_pylist() for k in (3, 2, 1))):
+            own = frozenset(h ^ _of(host) for h in drop) if drop and host else frozenset()
+            out.append(None if page is None else parse(expand(page).decode(), own)[0])
         columns = [batch.column(i) for i in range(n - 2)] + [pa.array(out, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[: n - 2], "text"])
 
@@ -192,9 +204,9 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: i
     kept = [c for c in without(pages, "host", "text").columns if c in kept]
     host, page, drop = fresh(rows, "__host", "__page", "__drop")
     # The pages move once, to meet what is dropped from them, and compressed well.
-    keyed = rows.withColumns({host: _host(url), page: F.xxhash64(F.col(f"`{html}`"))}).withColumn(html, _squeezed(F.col(f"`{html}`")))
-    known = templates(pages, url, html, min_pages).toDF(host, page, drop)
-    joined = keyed.join(known, [host, page], "left")
+    keyed = rows.withColumns({host: _host(url), page: _page(url, html)}).withColumn(html, _squeezed(F.col(f"`{html}`")))
+    known = templates(pages, url, html, min_pages).toDF(page, drop)
+    joined = keyed.join(known, page, "left")
     columns = [F.col(f"`{c}`") for c in kept] + ([F.col(f"`{url}`")] if url.lower() not in ("host", "text") else [])
     final = joined.select(*columns, F.col(host).alias("host"), F.col(f"`{html}`").alias("__html"), F.col(drop).alias("__drop_list"))
     schema = T.StructType([*final.schema.fields[:-2], T.StructField("text", T.StringType())])
