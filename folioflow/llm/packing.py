@@ -25,8 +25,8 @@ CAPACITY = 8192
 UNITS = 64
 #: Documents in a pattern at most.
 MAX_PARTS = 4
-#: Rows that one task ranks, about.
-RANK_ROWS = 200_000
+#: Pieces of one bin that a task ranks, about, if bins are alike: at most so many times the capacity in characters.
+RANK_ROWS = 4_000
 
 
 def patterns(units: int = UNITS, parts: int = MAX_PARTS) -> list[tuple[int, ...]]:
@@ -169,8 +169,7 @@ def pack(
     histogram = Counter({r["bin"]: r["k"] for r in counted})
     histogram[units] += sum(r["full"] for r in counted)
     ranges = _ranges(plan(histogram, units, parts))
-    total = sum(histogram.values())
-    shares = max(1, math.ceil(total / RANK_ROWS / 4))
+    shares = max(1, math.ceil(max(histogram.values()) / RANK_ROWS))
 
     rows = source.select("doc_id", "text", F.explode(whole).alias("k")).select("doc_id", (F.col("k") * capacity).cast("int").alias("start"), "text")
     rows = rows.select("doc_id", "start", bin_.alias("bin"), F.expr(f"substring(text, start + 1, {capacity})").alias("text"))
@@ -179,7 +178,7 @@ def pack(
     if shares == 1:
         rows = rows.withColumn("first", F.lit(0).cast("bigint"))
     else:
-        rows = written(rows, "pieces")
+        # Counted in a scan of its own: cheaper than to write the pieces.
         sizes = rows.groupBy("bin", "share").agg(F.count("*").alias("size"))
         first = sizes.withColumn("first", F.sum("size").over(Window.partitionBy("bin").orderBy("share")) - F.col("size")).drop("size")
         # units x shares rows; below Spark's own limit it is broadcast, else joined on the keys that the window needs too.
