@@ -1,9 +1,14 @@
 """HTML extraction by site template removal (operator 9).
 
 Each page is parsed into a tree of elements, and each block-level subtree that has text is hashed: its name, its texts and
-the hashes of its children, not its attributes. Spark counts on how many different pages of a host a hash occurs. Subtrees
-that occur on many of them, such as menus, banners and footers, are deleted, and the text of the rest is what the page
-says. Pages are parsed once to hash and once to extract; only hashes are counted and joined.
+the hashes of its children, not its attributes. Spark counts on how many different pages of a host a hash occurs, and how
+many pages the host has. Subtrees that occur on a large enough share of them, such as menus, banners and footers, are
+deleted, and the text of the rest is what the page says. Pages are parsed once to hash and once to extract; only hashes
+are counted and joined.
+
+A site has menus of sections, each on a few of a hundred pages, and articles that quote a sentence as often: one share
+can't tell them apart. So where text is written (articles, paragraphs, titles, lists, tables) the share is a large one,
+and in menus, footers, asides, forms and plain containers a small one. The lowest bit of a hash tells which.
 """
 
 from __future__ import annotations
@@ -21,8 +26,11 @@ from pyspark.sql import types as T
 
 from folioflow.llm.shared import fresh, without, written
 
-#: Different pages of a host on which a subtree has to occur to be part of the template.
+#: Different pages of a host on which a subtree has to occur at least to be part of the template.
 MIN_PAGES = 5
+#: It has to occur on one in so many of the host's different pages besides: a container, and what text is written in.
+ONE_IN = 100
+ONE_IN_PROSE = 5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)[^<>\"']*(?:\"[^\"<]*\"[^<>\"']*|'[^'<]*'[^<>\"']*)*>",
@@ -47,14 +55,21 @@ _ENDS = {
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}),
 }
 _PARAGRAPH = ({"p"}, {"div", "article", "section", "main", "aside", "header", "footer", "nav", "body", "html", "li", "td", "th", "blockquote", "form", "table", "dd", "figure"})
+#: What is inside of the first is prose, of the second isn't, nor of the third if in neither; elsewhere but the last are.
+_CONTENT = frozenset({"article", "main"})
+_FURNITURE = frozenset({"aside", "dialog", "form", "menu", "nav"})
+_MARGIN = frozenset({"footer", "header"})
+_CONTAINER = frozenset({"center", "div", "fieldset", "section"})
 _SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("hashes", "name", "parts")
+    __slots__ = ("hashes", "name", "parts", "zone")
 
-    def __init__(self, name: str) -> None:
+    def __init__(self, name: str, zone: frozenset[str] | None = None) -> None:
         self.name = name
+        #: What it is inside of: _CONTENT, _FURNITURE or None.
+        self.zone = _CONTENT if name in _CONTENT else _FURNITURE if name in _FURNITURE or name in _MARGIN and zone is None else zone
         self.hashes: list[str] = []
         self.parts: list[str] = []
 
@@ -80,10 +95,12 @@ def parse(page: str, drop: frozenset[int] = frozenset()) -> tuple[str, set[int]]
                 up.parts.append("\n")
             return
         h = xxhash.xxh3_64_intdigest((e.name + "\0" + "\1".join(e.hashes)).encode("utf-8", "surrogatepass")) - (1 << 63)
+        # The parent's hash has it without the bit: equal subtrees have equal hashes wherever they are.
+        own = h & ~1 | (e.zone is _CONTENT or e.zone is None and e.name not in _CONTAINER)
         if e.name in _BLOCK:
-            seen.add(h)
+            seen.add(own)
         up.hashes.append(f"\2{h}")
-        if h in drop and e.name in _BLOCK:
+        if own in drop and e.name in _BLOCK:
             up.parts.append("\n")
         elif e.name in _BLOCK:
             up.parts += "\n", *e.parts, "\n"
@@ -135,7 +152,7 @@ def parse(page: str, drop: frozenset[int] = frozenset()) -> tuple[str, set[int]]
             at = (page.find(">", end.start()) + 1 or len(page)) if end else len(page)
             continue
         hidden += name in _HIDDEN
-        stack.append(_Element(name))
+        stack.append(_Element(name, stack[-1].zone))
     while len(stack) > 1:
         close()
     lines = (_SPACE.sub(" ", x).strip() for x in "".join(root.parts).split("\n"))
@@ -143,25 +160,30 @@ def parse(page: str, drop: frozenset[int] = frozenset()) -> tuple[str, set[int]]
 
 
 def _of(host: str) -> int:
-    return xxhash.xxh3_64_intdigest(host) - (1 << 63)
+    """The host's hash, whose lowest bit is 0: mixed with it, a subtree's hash keeps its own."""
+    return xxhash.xxh3_64_intdigest(host) - (1 << 63) & ~1
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hashes of each page, mixed with its host's: those of two hosts are different."""
     for batch in batches:
-        pages = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
-        rows = [[h ^ of for h in sorted(parse(t)[1])] for t, of in ((t, _of(host)) for host, t in pages)]
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int64()))], names=["page", "hashes"])
+        sites = [_of(host) for host in batch.column(0).to_pylist()]
+        rows = [[h ^ of for h in sorted(parse(t)[1])] for t, of in zip(batch.column(2).to_pylist(), sites)]
+        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sites, pa.int64()), pa.array(rows, pa.list_(pa.int64()))], names=["page", "site", "hashes"])
 
 
-def templates(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
+def templates(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, one_in: int = ONE_IN, one_in_prose: int = ONE_IN_PROSE) -> DataFrame:
     """(page, drop): for each different page of a host, by the hash of both, which subtrees belong to the template. The
     hashes in drop are mixed with the host's."""
     keyed = pages.select(_host(url).alias("host"), _page(url, html).alias("page"), F.col(f"`{html}`").alias("html"))
-    hashed = keyed.where("host is not null and html is not null").mapInArrow(_hashed, "page bigint, hashes array<bigint>")
-    flat = written(hashed.dropDuplicates(["page"]), "subtrees").select("page", F.explode("hashes").alias("h"))
-    often = flat.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("h")
-    return flat.join(often, "h", "left_semi").groupBy("page").agg(F.sort_array(F.collect_list("h")).alias("drop"))
+    hashed = keyed.where("host is not null and html is not null").mapInArrow(_hashed, "page bigint, site bigint, hashes array<bigint>")
+    different = written(hashed.dropDuplicates(["page"]), "subtrees")
+    sizes = different.groupBy("site").agg(F.count("*").alias("pages"))
+    flat = different.select("page", "site", F.explode("hashes").alias("h"))
+    counted = flat.groupBy("h").agg(F.count("*").alias("n"), F.min("site").alias("site")).where(F.col("n") >= min_pages)
+    one_in = F.when(F.col("h").bitwiseAND(F.lit(1)) == 1, one_in_prose).otherwise(one_in)
+    often = counted.join(sizes, "site").where(F.col("n") * one_in >= F.col("pages")).select("h")
+    return flat.select("page", "h").join(often, "h", "left_semi").groupBy("page").agg(F.sort_array(F.collect_list("h")).alias("drop"))
 
 
 def _page(url: str, html: str):

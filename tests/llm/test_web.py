@@ -63,6 +63,21 @@ def test_templates_are_brute_force(spark):
     assert html_extract.extract(pages.limit(0)).collect() == []
 
 
+def test_content_on_few_pages_of_a_large_host_stays(spark):
+    rows = []
+    for i in range(400):
+        # A menu of all pages, one of each of 20 sections, and in articles: a sentence on 5 pages, one on 40, a whole article on 6.
+        said = "<h1>Same title</h1><p>said on five</p>" if i % 80 == 0 else "<p>said on forty</p>" if i % 10 == 3 else ""
+        article = "<article><p>copied</p><ul><li>whole</li></ul></article>" if i % 70 == 1 else f"<article>{said}<p>only {i}</p></article>"
+        rows.append((i, f"http://h.example/{i}", f"<nav><ul><li>home</li></ul></nav><div>section {i % 20}</div>{article}<p>all rights</p><footer><p>foot {i % 20}</p> page {i}</footer>"))
+    rows += [(1000 + i, f"http://small.example/{i}", f"<p>said on five</p><p>other {i}</p>") for i in range(5)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(400):
+        said = "Same title\nsaid on five\n" if i % 80 == 0 else "said on forty\n" if i % 10 == 3 else ""
+        assert got[i] == ("copied\nwhole" if i % 70 == 1 else f"{said}only {i}") + f"\npage {i}"
+    assert [got[1000 + i] for i in range(5)] == [f"other {i}" for i in range(5)]
+
+
 def read(spark, files):
     return warc.responses(warc.records(spark.createDataFrame([(f,) for f in files], "content binary"))).collect()
 
