@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -35,6 +36,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession) -> None:
+    """Shuffle files that nothing refers to any more are deleted now, not when the driver next collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names made of names that no column of df has, in any case."""
     taken = {c.lower() for c in df.columns}

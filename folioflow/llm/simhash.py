@@ -1,12 +1,12 @@
 """Near-duplicate removal by SimHash with covering locality-sensitive hashing (operator 2).
 
 A document's fingerprint has 128 bits: the signs of the sums of its words' hashes, each weighted by the square root of
-the word's count. The bits are in two halves. For each half the masks of Pagh's covering families (2016) are built:
-bit i gets a vector m(i) of RADIUS + 1 bits, and mask v, for each of the 2^(RADIUS+1) - 1 vectors v but 0, holds the bits
-with <m(i), v> = 1. At most RADIUS differing bits span no more than RADIUS dimensions, so some v is orthogonal to all
-of them, and both fingerprints agree on that mask. Of two fingerprints that differ in at most 2 RADIUS + 1 bits, one
-half differs in at most RADIUS: such a pair is never missed. Pairs further apart, up to ACCEPT bits, count as near if
-they happen to agree on a mask.
+the word's count. The bits are in two halves. For each half the masks of Pagh's covering families (2016) are built for
+its radius r: bit i gets a vector m(i) of r + 1 bits, and mask v, for each of the 2^(r+1) - 1 vectors v but 0, holds the
+bits with <m(i), v> = 1. At most r differing bits span no more than r dimensions, so some v is orthogonal to all of
+them, and both fingerprints agree on that mask. Two fingerprints that differ in no more bits than both radii and 1 differ
+within its radius in one half: such a pair is never missed. The radii in RADIUS add up to ACCEPT - 1, so every pair that
+counts as near meets. Masks are gone through in waves, whose shuffle files are freed: the disk holds one wave's.
 
 Within each bucket (mask and masked bits) the graph of near pairs is searched breadth first, each fingerprint visited
 once, which gives the edges of a spanning forest: its components are those of all near pairs, however large the bucket.
@@ -18,6 +18,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +26,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.shared import components, fresh, without, written
+from folioflow.llm.shared import components, freed, fresh, without, written
 
-#: Differing bits of one half of the fingerprint up to which a common bucket is guaranteed.
-RADIUS = 6
+#: Differing bits of each half of the fingerprint up to which a common bucket is guaranteed.
+RADIUS = (8, 9)
 #: Differing bits of the whole fingerprint up to which a pair in a common bucket is near.
 ACCEPT = 18
 #: Bytes of fingerprints that a shard of buckets should hold.
 SHARD_BYTES = 24 << 20
+#: Masks of a wave.
+WAVE = 256
 
 _WORD = re.compile(r"\w+")
 #: A token without word boundaries, as in Chinese or encoded data, is taken in pieces of so many characters.
@@ -80,7 +83,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), a, b], names=["id", "a", "b"])
 
 
-def masks(radius: int = RADIUS, seed: int = 2016) -> np.ndarray:
+def masks(radius: int = RADIUS[0], seed: int = 2016) -> np.ndarray:
     """The masks of one covering family on 64 bits. The vectors of the bits differ as far as there are enough."""
     rng = np.random.default_rng(seed)
     some = np.concatenate([rng.permutation(np.arange(1, 2 ** (radius + 1))) for _ in range(64)])[:64]
@@ -94,17 +97,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _hashed(table: np.ndarray, a: np.ndarray, b: np.ndarray, family: np.ndarray) -> np.ndarray:
+def _families(radius: int | tuple[int, int]) -> tuple[np.ndarray, int]:
+    """The masks of both halves, one after the other, and how many are the first's."""
+    first, second = (radius, radius) if isinstance(radius, int) else radius
+    family = masks(first)
+    return np.concatenate([family, masks(second)]), len(family)
+
+
+def _hashed(table: np.ndarray, a: np.ndarray, b: np.ndarray, families: tuple[np.ndarray, int]) -> np.ndarray:
     """One number for each bucket. Buckets that share it by chance are searched as one, which adds no wrong pair."""
-    k = len(family)
-    part = np.where(table < k, a & family[table % k], b & family[table % k])
+    family, k = families
+    part = np.where(table < k, a, b) & family[table]
     return _mix(part ^ _mix(table.astype(np.uint64) + np.uint64(1)))
 
 
-def _spread(shards: int, radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint once for each mask, as binaries by shard: tables, first halves, second halves."""
-    family = masks(radius)
-    tables = np.arange(2 * len(family), dtype=np.uint16)
+def _spread(shards: int, radius: int | tuple[int, int], wave: range, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint once for each mask of the wave, as binaries by shard: tables, first halves, second halves."""
+    family = _families(radius)
+    tables = np.arange(wave.start, wave.stop, dtype=np.uint16)
     for batch in batches:
         for lo in range(0, batch.num_rows, 4096):
             part = batch.slice(lo, 4096)
@@ -136,9 +146,9 @@ def _forest(a: np.ndarray, b: np.ndarray, accept: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _near(radius: int, accept: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _near(radius: int | tuple[int, int], accept: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by shard. The edges of each shard's buckets, each once."""
-    family = masks(radius)
+    family = _families(radius)
 
     def search(blobs: list[bytes]) -> pa.RecordBatch:
         ns = [len(x) // 18 for x in blobs]
@@ -174,7 +184,18 @@ def _near(radius: int, accept: int, batches: Iterator[pa.RecordBatch]) -> Iterat
         yield search(blobs)
 
 
-def near_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", radius: int = RADIUS, accept: int = ACCEPT) -> DataFrame:
+def _edges(nodes: DataFrame, shards: int, radius: int | tuple[int, int], accept: int, wave: range) -> DataFrame:
+    """The near pairs that meet in the masks of a wave, each pair once."""
+    spread = nodes.select("a", "b").mapInArrow(lambda x: _spread(shards, radius, wave, x), "shard bigint, blob binary")
+    return (
+        spread.repartition(shards, "shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(lambda x: _near(radius, accept, x), "a1 bigint, b1 bigint, a2 bigint, b2 bigint")
+        .distinct()
+    )
+
+
+def near_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", radius: int | tuple[int, int] = RADIUS, accept: int = ACCEPT) -> DataFrame:
     """(id, root, n) for each document with words: the smallest id of its near-duplicate group, and the group's size.
 
     Groups are the connected components of near pairs. Rows whose id or text is null or without words are left out.
@@ -184,16 +205,15 @@ def near_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", rad
     prints = written(source.mapInArrow(_fingerprints, "id bigint, a bigint, b bigint").where("a is not null"), "simhash")
     nodes = prints.groupBy("a", "b").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     nodes = written(nodes, "nodes")
-    entries = nodes.count() * 2 * (2 ** (radius + 1) - 1)
-    shards = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(18 * entries / SHARD_BYTES))
-    spread = nodes.select("a", "b").mapInArrow(lambda x: _spread(shards, radius, x), "shard bigint, blob binary")
-    edges = (
-        spread.repartition(shards, "shard")
-        .sortWithinPartitions("shard")
-        .mapInArrow(lambda x: _near(radius, accept, x), "a1 bigint, b1 bigint, a2 bigint, b2 bigint")
-        .distinct()
-    )
-    edges = written(edges, "near")
+    count, n_masks = nodes.count(), len(_families(radius)[0])
+    n_waves = math.ceil(n_masks / WAVE)
+    cuts = [n_masks * k // n_waves for k in range(n_waves + 1)]
+    found = []
+    for wave in map(range, cuts, cuts[1:]):
+        shards = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(18 * count * len(wave) / SHARD_BYTES))
+        found.append(written(_edges(nodes, shards, radius, accept, wave), "near"))
+        freed(docs.sparkSession)
+    edges = written(reduce(DataFrame.union, found).distinct(), "near")
     rep = nodes.select("a", "b", "rep")
     ends = edges.join(rep.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("rep").alias("x")), ["a1", "b1"])
     ends = ends.join(rep.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("rep").alias("y")), ["a2", "b2"])
@@ -204,7 +224,7 @@ def near_groups(docs: DataFrame, text: str = "text", id_col: str = "doc_id", rad
     return prints.join(grouped.join(sizes, "root").select("a", "b", "root", "n"), ["a", "b"]).select("id", "root", "n")
 
 
-def near_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", radius: int = RADIUS, accept: int = ACCEPT) -> DataFrame:
+def near_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", radius: int | tuple[int, int] = RADIUS, accept: int = ACCEPT) -> DataFrame:
     """The rows of docs less all but one document of each near-duplicate group, and n_near, the size of its group.
 
     The document of the smallest id stays. Documents without any word, with a null text or a null id are near to none and

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from folioflow.llm import exact_dedup, simhash
@@ -88,6 +89,37 @@ def test_near_groups_are_brute_force_components(spark):
     assert all(got[i] // 3 == i // 3 for i in ids)
 
 
+def test_every_pair_up_to_the_accepted_distance_meets():
+    rng = random.Random(6)
+    families, first = simhash._families(simhash.RADIUS)
+    for _ in range(400):
+        x = rng.getrandbits(64), rng.getrandbits(64)
+        bits = rng.sample(range(128), simhash.ACCEPT)
+        y = [x[h] ^ sum(1 << b % 64 for b in bits if b // 64 == h) for h in (0, 1)]
+        assert any(x[k >= first] & m == y[k >= first] & m for k, m in enumerate(families.tolist()))
+
+
+def test_groups_at_the_accepted_distance(spark, monkeypatch):
+    rng = random.Random(7)
+    made = {}
+    for i in range(150):
+        x = rng.getrandbits(64), rng.getrandbits(64)
+        bits = rng.sample(range(128), simhash.ACCEPT)
+        y = tuple(x[h] ^ sum(1 << b % 64 for b in bits if b // 64 == h) for h in (0, 1))
+        made |= {f"{2 * i}": x, f"{2 * i + 1}": y}
+    signed = {t: tuple(v - (1 << 64) if v >> 63 else v for v in p) for t, p in made.items()}
+
+    def prints(batches):
+        for batch in batches:
+            a, b = zip(*(signed[t] for t in batch.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["id", "a", "b"])
+
+    monkeypatch.setattr(simhash, "_fingerprints", prints)
+    docs = spark.createDataFrame([(int(t), t) for t in made], "doc_id bigint, text string")
+    got = {r.id: r.root for r in simhash.near_groups(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(300)}
+
+
 def test_near_dedup_keeps_the_first_of_each_group(spark):
     text = " ".join(f"w{i}" for i in range(200))
     rows = [(5, text), (2, text + " more"), (9, None), (9, None), (8, ""), (None, text), (1, "another text of other words entirely")]
