@@ -59,15 +59,24 @@ def bridged(rows: DataFrame, part: list[str], order: list[str], kind: str = "kin
     return found.join(fixed, [*part, "__run"]).drop("__run")
 
 
-def body_start(rows: DataFrame, part: list[str], order: str, fits: Column, second: Column, length: int = 4) -> DataFrame:
-    """(part, start): where length rows in a row fit and every other one is a second line; else the number of rows."""
+def body_start(
+    rows: DataFrame, part: list[str], order: str, fits: Column, second: Column, length: int = 4, separator: Column | None = None, prose: Column | None = None
+) -> DataFrame:
+    """(part, start): where length rows in a row fit and every other one is a second line; else the number of rows. The
+    row after the last separator before them is the start if there is no prose in between."""
     w = Window.partitionBy(*part).orderBy(order)
     good = F.lit(True)
     for k in range(length):
         here = F.lead(fits, k).over(w) & (F.lead(second, k).over(w) == F.lit(k % 2 == 1))
         good = good & F.coalesce(here, F.lit(False))
-    found = rows.withColumn("__good", good)
-    return found.groupBy(*part).agg(F.coalesce(F.min(F.when(F.col("__good"), F.col(order))), F.count("*")).alias("start"))
+    no = F.lit(False)
+    found = rows.select(*part, order, good.alias("__good"), F.lead(order).over(w).alias("__after"), F.coalesce(separator, no).alias("__separator") if separator is not None else no.alias("__separator"), F.coalesce(prose, no).alias("__prose") if prose is not None else no.alias("__prose"))
+    found = found.withColumn("__first", F.min(F.when(F.col("__good"), F.col(order))).over(Window.partitionBy(*part)))
+    before = F.col(order) < F.col("__first")
+    fenced = F.max(F.when(before & F.col("__separator"), F.col("__after")))
+    essay = F.max(F.when(before & F.col("__prose"), F.col(order)))
+    start = F.when(fenced > essay, fenced).otherwise(F.when(essay.isNull(), fenced))
+    return found.groupBy(*part).agg(F.coalesce(start, F.min("__first"), F.count("*")).alias("start"))
 
 
 def neighbours(rows: DataFrame, order: list[str], value: str, part: list[str] | None = None, circular: bool = False) -> DataFrame:

@@ -271,7 +271,8 @@ _GOOD = " and ".join(
 """)
 def body_start(spark, sf_dir):
     rows = _t(spark, sf_dir, "conversations")
-    return ordered.body_start(rows, ["conv_id"], "turn", F.length("text").between(15, 600), F.col("role") == "assistant")
+    fits, plain = F.length("text").between(15, 600), F.trim("text")
+    return ordered.body_start(rows, ["conv_id"], "turn", fits, F.col("role") == "assistant", separator=plain == "۰۰۰", prose=F.length(plain) > 600)
 
 
 @_query("""

@@ -82,6 +82,23 @@ def test_body_start(spark):
     assert {r.b: r.start for r in ordered.body_start(df, ["b"], "i", F.col("fits"), F.col("second")).collect()} == expected
 
 
+def test_body_start_backs_up_to_a_separator(spark):
+    rng = random.Random(14)
+    books = ["-v2v2", "v-vv2v2", "-pv2v2", "p-vv2v2v", "--v2-v2v2", "v2v-", "v2v2-", "p-p-vv2v2"]
+    books += ["".join(rng.choices("v2-p", [4, 4, 1, 1], k=rng.randint(1, 20))) for _ in range(120)]
+    expected = {}
+    for b, kinds in enumerate(books):
+        start = kinds.find("v2v2")
+        expected[b] = len(kinds) if start < 0 else start
+        for i in range(start - 1, -1, -1):
+            if kinds[i] in "-p":
+                expected[b] = i + 1 if kinds[i] == "-" else start
+                break
+    df = spark.createDataFrame([(b, i, k) for b, kinds in enumerate(books) for i, k in enumerate(kinds)], "b int, i int, k string")
+    got = ordered.body_start(df, ["b"], "i", F.col("k").isin("v", "2"), F.col("k") == "2", separator=F.col("k") == "-", prose=F.col("k") == "p")
+    assert {r.b: r.start for r in got.collect()} == expected
+
+
 def test_runs_of_codes_and_digits(spark):
     rng = random.Random(5)
     rows = sorted({(b, 2 * rng.randint(0, 30), rng.choice([5, 65, 66])) for b in range(30) for _ in range(15)})
