@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.shared import fresh, without
+from folioflow.llm.shared import fresh, readable, without
 
 #: Frequent words of English, German, French and Spanish.
 STOP_WORDS = tuple(
@@ -29,47 +29,42 @@ class Rule(NamedTuple):
     metric: str
     low: float | None
     high: float | None
+    #: The rule holds for texts of so many words at least, or lines where its metric is one of lines.
+    least: int = 0
 
 
-#: Limits after those of published rules for web text. Short documents pass: length alone doesn't make junk.
+#: Limits after those of published rules for web text. Length alone doesn't make junk.
 RULES = (
     Rule("too_short", "n_words", 1, None),
     Rule("too_long", "n_words", None, 1_000_000),
-    Rule("word_length", "mean_word_length", 1, 14),
-    Rule("symbols", "symbol_ratio", None, 0.3),
-    Rule("capitals", "upper_ratio", None, 0.4),
-    Rule("repeated_words", "distinct_word_ratio", 0.05, None),
-    Rule("repeated_lines", "duplicate_line_ratio", None, 0.3),
-    Rule("bullet_lines", "bullet_line_ratio", None, 0.9),
-    Rule("ellipsis_lines", "ellipsis_line_ratio", None, 0.3),
-    Rule("stop_words", "stop_word_ratio", 0.02, None),
+    Rule("word_length", "mean_word_length", 1, 14, 30),
+    Rule("symbols", "symbol_ratio", None, 0.3, 5),
+    Rule("capitals", "upper_ratio", None, 0.4, 30),
+    Rule("repeated_words", "distinct_word_ratio", 0.05, None, 1),
+    Rule("repeated_lines", "duplicate_line_ratio", None, 0.3, 4),
+    Rule("bullet_lines", "bullet_line_ratio", None, 0.9, 4),
+    Rule("ellipsis_lines", "ellipsis_line_ratio", None, 0.3, 4),
+    Rule("stop_words", "stop_word_ratio", 0.02, None, 30),
 )
-#: Rules on ratios need so many words, or lines where they are of lines, to mean anything.
-MIN_WORDS = 30
-MIN_LINES = 4
 
 
 def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def metrics(text: Column) -> dict[str, Column]:
-    """Metrics by name. A null text counts as empty."""
-    t = F.coalesce(text, F.lit(""))
-    plain = F.translate(t, PUNCTUATION, " " * len(PUNCTUATION))
-    words = F.filter(F.split(F.lower(plain), " "), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n"), lambda s: s != "")
-    n_words, n_lines = F.size(words), F.size(lines)
-    upper = F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")
-    letters = F.translate(F.lower(t), "abcdefghijklmnopqrstuvwxyz", "")
-    symbols = F.translate(t, SYMBOLS, "")
-    spaces = F.translate(plain, " ", "")
+def metrics(text: Column, lower: Column, words: Column, lines: Column) -> dict[str, Column]:
+    """Metrics by name, of a text and what measured() makes of it once: its lower case, words and lines."""
+    n_words, n_lines, n_chars = F.size(words), F.size(lines), F.length(text)
+    # Runs are replaced, which is cheaper than to count one by one what is frequent.
+    upper = n_chars - F.length(F.regexp_replace(text, "[A-Z]+", ""))
+    letters = n_chars - F.length(F.regexp_replace(lower, "[a-z]+", ""))
+    signs = F.length(F.regexp_replace(text, _class(PUNCTUATION + " ") + "+", ""))
     return {
         "n_words": n_words,
         "n_lines": n_lines,
-        "mean_word_length": _ratio(F.length(spaces), n_words),
-        "symbol_ratio": _ratio(F.length(t) - F.length(symbols), n_words),
-        "upper_ratio": _ratio(F.length(t) - F.length(upper), F.length(t) - F.length(letters)),
+        "mean_word_length": _ratio(signs, n_words),
+        "symbol_ratio": _ratio(F.regexp_count(text, F.lit(_class(SYMBOLS))), n_words),
+        "upper_ratio": _ratio(upper, letters),
         "distinct_word_ratio": _ratio(F.size(F.array_distinct(words)), n_words),
         "duplicate_line_ratio": _ratio(n_lines - F.size(F.array_distinct(lines)), n_lines),
         "bullet_line_ratio": _ratio(F.size(F.filter(lines, lambda s: F.substring(s, 1, 1).isin("-", "*", "•"))), n_lines),
@@ -78,6 +73,10 @@ def metrics(text: Column) -> dict[str, Column]:
     }
 
 
+def _class(chars: str) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in chars) + "]"
+
+
 def _literal(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -110,9 +109,7 @@ def sql(rules: tuple[Rule, ...] = RULES, table: str = "documents") -> str:
 
 
 def _guard(rule: Rule) -> str:
-    if rule.metric.startswith("n_"):
-        return "1 = 1"
-    return f"n_lines >= {MIN_LINES}" if "_line_" in rule.metric else f"n_words >= {MIN_WORDS}"
+    return f"{'n_lines' if '_line_' in rule.metric else 'n_words'} >= {rule.least}"
 
 
 def _failing_sql(rule: Rule) -> str:
@@ -123,14 +120,28 @@ def _failing_sql(rule: Rule) -> str:
 def measured(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of docs with the metrics, and failed, the names of the rules that the document fails, in their order.
 
-    A null text is measured as an empty one, which fails too_short. Ratios of nothing are 0. Texts are measured whole.
+    A null text is measured as an empty one, which fails too_short; bytes that are no UTF-8 are measured as replacement
+    characters. Ratios of nothing are 0. A rule isn't applied to texts of fewer words or lines than its least: of those
+    in RULES, texts of fewer than 30 words can't fail word_length, capitals and stop_words, of fewer than 5 symbols, and
+    of fewer than 4 lines the rules on lines; such shares mean nothing there, as in a title. Texts are measured whole.
     Columns named like a metric or failed, in any case of letters, are replaced. An empty table gives an empty table.
     """
-    found = metrics(F.col(f"`{text}`"))
+    t, lower, words, lines = fresh(docs, "t", "lower", "words", "lines")
+    found = metrics(F.col(t), F.col(lower), F.col(words), F.col(lines))
     keep = [c for c in docs.columns if c == text or c.lower() not in {*found, "failed"}]
     (box,) = fresh(docs, "box")
-    # Through a generator, so that a later filter can't make Catalyst evaluate the metrics twice.
-    boxed = docs.select(*[F.col(f"`{c}`") for c in keep], F.explode(F.array(F.struct(*[e.alias(k) for k, e in found.items()]))).alias(box))
+
+    def bound(rows: DataFrame, kept: list[str], **values: Column) -> DataFrame:
+        # Through a generator, so that Catalyst evaluates what is made here once a row, however often it is used.
+        made = F.explode(F.array(F.struct(*[e.alias(k) for k, e in values.items()])))
+        rows = rows.select(*[F.col(f"`{c}`") for c in kept], made.alias(box))
+        return rows.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"{box}.{k}").alias(k) for k in values])
+
+    whole = F.coalesce(readable(F.col(f"`{text}`")), F.lit(""))
+    rows = bound(docs, keep, **{t: whole, lower: F.lower(whole)})
+    parts = F.filter(F.split(F.col(lower), _class(PUNCTUATION + " ")), lambda w: w != "")
+    rows = bound(rows, [*keep, t, lower], **{words: parts, lines: F.filter(F.split(F.col(t), "\n"), lambda s: s != "")})
+    boxed = rows.select(*[F.col(f"`{c}`") for c in keep], F.explode(F.array(F.struct(*[e.alias(k) for k, e in found.items()]))).alias(box))
     columns = [F.col(f"`{c}`") for c in keep] + [F.col(f"{box}.{k}").alias(k) for k in found]
     names = [F.when(F.expr(_boxed(_failing_sql(r), found, box)), F.lit(r.name)) for r in rules]
     return boxed.select(*columns, F.array_compact(F.array(*names)).alias("failed"))
