@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.llm.shared import without, worker_cache
+from folioflow.llm.shared import readable, without, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _SPACE = "▁"
 _KEEP = 1_000_000
+#: Characters of a word that is kept.
+_WORD = 64
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 #: What a unigram model adds to its lowest score for an unknown character.
 _UNKNOWN_PENALTY = -10.0
@@ -65,8 +66,14 @@ class Codec:
         #: Pieces and their beginnings; a beginning that is no piece has -1.
         self.nodes = {p[:n]: -1 for p in self.texts_of for n in range(1, len(p))}
         self.nodes.update({p: k for k, p in enumerate(self.texts_of)})
-        self.pairs: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        #: The same as nested tables of characters: (number or -1, what follows).
+        self.trie: dict = {}
+        for k, p in enumerate(self.texts_of):
+            self._planted(p, k)
+        #: For each piece, which ones merging keeps apart from it when they follow.
+        self.pairs: list[dict[int, bool]] = [{} for _ in self.texts_of]
+        self.n_pairs = 0
+        self.known = _Words(self)
         inside = [p.lstrip(_SPACE) for p in self.ids]
         if any(_SPACE in p for p in inside):
             self.cut = None
@@ -89,23 +96,65 @@ class Codec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _joined(self, a: int, b: int) -> bool:
+    def _planted(self, piece: str, k: int) -> None:
+        at = self.trie
+        for c in piece[:-1]:
+            at = at.setdefault(c, (-1, {}))[1]
+        at[piece[-1]] = (k, at.get(piece[-1], (-1, {}))[1])
+
+    def _apart(self, a: int, b: int) -> bool:
         """Whether merging keeps pieces a and b apart."""
-        if len(self.pairs) > _KEEP:
-            self.pairs.clear()
-        left, right = self.texts_of[a], self.texts_of[b]
-        found = self.pairs[a << 32 | b] = self.merged(left + right) == [left, right]
+        found = self.pairs[a].get(b)
+        if found is None:
+            if self.n_pairs > _KEEP:
+                for row in self.pairs:
+                    row.clear()
+                self.n_pairs = 0
+            left, right = self.texts_of[a], self.texts_of[b]
+            found = self.pairs[a][b] = self.merged(left + right) == [left, right]
+            self.n_pairs += 1
         return found
 
     def _letter(self, c: str) -> int:
         """A character that is no piece gets a number of its own."""
         self.nodes[c] = k = len(self.texts_of)
+        self._planted(c, k)
         self.texts_of.append(c)
+        self.pairs.append({})
         return k
 
+    def short(self, text: str) -> list[int]:
+        """What stream gives for a text of merges that is within one window: the paths meet at its end alone."""
+        size, trie, rows, longest = len(text), self.trie, self.pairs, self.longest
+        back, last = [0] * (size + 1), [-1] * (size + 1)
+        for j in range(size):
+            prev = last[j]
+            row = rows[prev] if j else None
+            i, at = j, trie
+            for c in text[j : j + longest]:
+                step = at.get(c)
+                if step is None:
+                    break
+                k, at = step
+                i += 1
+                if k < 0 or last[i] >= 0:
+                    continue
+                apart = row is None or row.get(k)
+                if apart is None:
+                    apart = self._apart(prev, k)
+                if apart:
+                    back[i], last[i] = j, k
+            if last[j + 1] < 0:  # no piece ends here: the character is none itself
+                back[j + 1], last[j + 1] = j, self._letter(text[j])
+        out = []
+        while size:
+            out.append(last[size])
+            size = back[size]
+        return out[::-1]
+
     def stream(self, text: str) -> Iterator[int]:
         """The pieces of text, by number, each as soon as it is sure. Holds the positions since the last common boundary."""
-        size, longest, get, pairs, scores = len(text), self.longest, self.nodes.get, self.pairs, self.weights
+        size, longest, get, scores = len(text), self.longest, self.nodes.get, self.weights
         base, back, last, best = 0, [0], [-1], [0.0]  # from position base on; last is None where no path has come yet
         for j in range(size):
             here = j - base
@@ -128,12 +177,8 @@ class Codec:
                     s = so_far + (scores[k] if k < len(scores) else self.penalty)
                     if last[at] is None or s > best[at]:
                         back[at], last[at], best[at] = j, k, s
-                elif last[at] is None:
-                    apart = prev < 0 or pairs.get(prev << 32 | k)
-                    if apart is None:
-                        apart = self._joined(prev, k)
-                    if apart:
-                        back[at], last[at] = j, k
+                elif last[at] is None and (prev < 0 or self._apart(prev, k)):
+                    back[at], last[at] = j, k
             if j + 1 == size or here >= 4 * longest and not j % longest:
                 # The boundary nearest to the end that the paths from all positions still open have in common.
                 ends = {i for i in range(j + 1, end + 1) if last[i - base] is not None} if j + 1 < size else {size}
@@ -168,23 +213,17 @@ class Codec:
                 yield self.unknown
             before = not known
 
-    def word(self, text: str) -> tuple[int, ...]:
-        found = self.known.get(text)
-        if found is None:
-            found = tuple(self._ids(self.stream(text)))
-            if len(text) <= 64:
-                if len(self.known) > _KEEP:
-                    self.known.clear()
-                self.known[text] = found
-        return found
-
-    def encode(self, text: str | None) -> list[int]:
+    def encoded(self, text: str | None) -> np.ndarray:
+        """The ids as whole numbers of 32 bits."""
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         marked = self.prefix + text.replace(" ", _SPACE)
         if self.cut is None or not self.bytes:
-            return list(self._ids(self.stream(marked)))
-        return list(chain.from_iterable(map(self.word, self.cut.findall(marked))))
+            return np.fromiter(self._ids(self.stream(marked)), np.int32)
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.cut.findall(marked))), np.int32)
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encoded(text).tolist()
 
     def decode(self, ids: list[int]) -> str:
         out = "".join(map(self.texts.__getitem__, ids))
@@ -197,6 +236,24 @@ class Codec:
         return out.removeprefix(" ") if self.prefix else out
 
 
+class _Words(dict):
+    """Words to the bytes of their ids; long ones aren't kept, and all are forgotten when there are too many."""
+
+    def __init__(self, codec: Codec) -> None:
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, word: str) -> bytes:
+        codec = self.codec
+        one = codec.short if not codec.unigram and len(word) <= 4 * codec.longest else codec.stream
+        found = np.fromiter(codec._ids(one(word)), np.int32).tobytes()
+        if len(word) <= _WORD:
+            if len(self) > _KEEP:
+                self.clear()
+            self[word] = found
+        return found
+
+
 def _codec(model: bytes) -> Codec:
     cache = worker_cache()
     if cache.get("pieces_model") != model:
@@ -210,12 +267,12 @@ def _encoded(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         flat, ends, same = [], [0], []
         texts = batch.column(1).to_pylist()
         for t in texts:
-            ids = codec.encode(t)
-            same.append(None if t is None else codec.decode(ids) == t)
-            flat.append(np.array(ids, np.int32))
+            ids = codec.encoded(t)
+            same.append(None if t is None else codec.decode(ids.tolist()) == t)
+            flat.append(ids)
             ends.append(ends[-1] + len(ids))
         null = pa.array([t is None for t in texts])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else [], pa.int32()), mask=null)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32)), mask=null)
         counts = pa.array(np.diff(ends), pa.int32())
         yield pa.RecordBatch.from_arrays([batch.column(0), lists, counts, pa.array(same, pa.bool_())], names=[batch.schema.names[0], "ids", "n_ids", "restored"])
 
@@ -229,10 +286,10 @@ def encode(docs: DataFrame, text: str = "text", id_col: str = "doc_id", model: s
     """(id_col, ids, n_ids, restored) for each row of docs; restored tells whether decoding ids gives the text again.
 
     It does unless the text itself has the mark that stands for spaces. A null text has null ids, n_ids 0 and restored
-    null; an empty one has none, and is restored. Null ids and repeated rows are carried; other columns aren't. model is
+    null; an empty one has none, and is restored. Bytes that are no UTF-8 are encoded as replacement characters. Null ids and repeated rows are carried; other columns aren't. model is
     a path on the driver. An empty table gives no rows.
     """
-    columns = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text}`"))
+    columns = docs.select(F.col(f"`{id_col}`"), readable(F.col(f"`{text}`")).alias(text))
     shared = _read(docs.sparkSession, model)
     added = T._parse_datatype_string("ids array<int>, n_ids int, restored boolean").fields
     return columns.mapInArrow(lambda x: _encoded(shared, x), T.StructType([columns.schema.fields[0], *added]))
