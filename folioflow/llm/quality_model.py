@@ -9,7 +9,6 @@ most MAX_ROWS labelled documents; scoring reads each document once, in Arrow bat
 from __future__ import annotations
 
 import operator
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.shared import without
+from folioflow.llm.shared import fresh, readable, split_words, without
 
 #: Labelled documents that the model is fitted on at most: those whose ids have the smallest hashes.
 MAX_ROWS = 6000
@@ -40,24 +39,12 @@ RARE = 3.0
 STEPS = 150
 RIDGE = 2e-4
 
-_WORD = re.compile(r"\w+")
-_KEEP = 300_000
 SCHEMA = "expected_grade double, p_tail double"
 
 
-class _Slots(dict):
-    """Feature to its weight's index; forgotten when there are too many."""
-
-    def __missing__(self, feature: str) -> int:
-        if len(self) > _KEEP:
-            self.clear()
-        slot = self[feature] = xxhash.xxh3_64_intdigest(feature.encode("utf-8", "surrogatepass")) % BUCKETS
-        return slot
-
-
 def features(text: str) -> set[str]:
     tokens = text.split()
-    found = _WORD.findall(text.lower())
+    found = split_words(text.lower())
     out = set(found)
     n = len(tokens)
     if not n:
@@ -75,10 +62,15 @@ def features(text: str) -> set[str]:
     return out
 
 
+def slots(text: str | None) -> np.ndarray:
+    """The places of a text's features in the weights, ascending, each once."""
+    digests = b"".join(map(xxhash.xxh3_64_digest, features(text or "")))
+    return np.unique((np.frombuffer(digests, ">u8") % BUCKETS).astype(np.int64))
+
+
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    slots = _Slots()
     for batch in batches:
-        rows = [sorted(set(map(slots.__getitem__, features(t or "")))) for t in batch.column(0).to_pylist()]
+        rows = [slots(t) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["grade", "slots"])
 
 
@@ -101,7 +93,6 @@ def fit_rows(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS, rid
     flat = np.concatenate(rows)
     used, flat = np.unique(flat, return_inverse=True)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    n = len(rows)
     # Rare grades weigh more, up to so many times as much as the commonest.
     weight = np.minimum(counts.max() / counts, RARE)[grades]
     # Screening: the scores of single features against the model of thresholds alone.
@@ -117,15 +108,7 @@ def fit_rows(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS, rid
     raw = np.concatenate([theta[:1], np.log(np.diff(theta))])
     m, v = np.zeros(len(w) + len(raw)), np.zeros(len(w) + len(raw))
     for step in range(1, steps + 1):
-        theta = np.cumsum(np.concatenate([raw[:1], np.exp(raw[1:])]))
-        z = np.bincount(row, w[flat], n)
-        edges = np.concatenate([[-np.inf], theta, [np.inf]])
-        hi, lo = _sigmoid(edges[grades + 1] - z), _sigmoid(edges[grades] - z)
-        p = np.maximum(hi - lo, 1e-12)
-        dhi, dlo = weight * hi * (1 - hi) / p, weight * lo * (1 - lo) / p
-        gw = np.bincount(flat, (dhi - dlo)[row], len(w)) / n + ridge * w
-        gt = np.array([(-dhi[grades == k]).sum() + dlo[grades == k + 1].sum() for k in range(GRADES - 1)]) / n
-        graw = np.concatenate([[gt.sum()], [gt[k:].sum() * np.exp(raw[k]) for k in range(1, len(raw))]])
+        _, gw, graw = likelihood(w, raw, row, flat, grades, weight, ridge)
         g = np.concatenate([gw, graw])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
@@ -134,6 +117,26 @@ def fit_rows(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS, rid
     return weights, np.cumsum(np.concatenate([raw[:1], np.exp(raw[1:])]))
 
 
+def likelihood(
+    w: np.ndarray, raw: np.ndarray, row: np.ndarray, flat: np.ndarray, grades: np.ndarray, weight: np.ndarray, ridge: float
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """The mean weighted negative log likelihood with its penalty, and its gradients by w and raw.
+
+    row and flat: which document has which weight. theta is the sum of raw[0] and the exponentials of raw's others.
+    """
+    n = len(grades)
+    theta = np.cumsum(np.concatenate([raw[:1], np.exp(raw[1:])]))
+    z = np.bincount(row, w[flat], n)
+    edges = np.concatenate([[-np.inf], theta, [np.inf]])
+    hi, lo = _sigmoid(edges[grades + 1] - z), _sigmoid(edges[grades] - z)
+    p = np.maximum(hi - lo, 1e-12)
+    dhi, dlo = weight * hi * (1 - hi) / p, weight * lo * (1 - lo) / p
+    gw = np.bincount(flat, (dhi - dlo)[row], len(w)) / n + ridge * w
+    gt = np.array([(-dhi[grades == k]).sum() + dlo[grades == k + 1].sum() for k in range(GRADES - 1)]) / n
+    graw = np.concatenate([[gt.sum()], [gt[k:].sum() * np.exp(raw[k]) for k in range(1, len(raw))]])
+    return float(-(weight * np.log(p)).sum() / n + ridge / 2 * (w * w).sum()), gw, graw
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """The model of labelled documents. Grade 0: quality 0; 1: quality 1 but toxic; 2: quality 1 and not toxic.
 
@@ -144,25 +147,25 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[n
     known = known.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     grade = F.when(F.col("q") <= 0, 0).when(F.col("t") > 0, 1).otherwise(2)
     some = known.select(F.col("doc_id").alias("id"), grade.alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
-    joined = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(some), "id").select("id", "text", "grade")
+    joined = docs.select(F.col("doc_id").alias("id"), readable(F.col("text")).alias("text")).join(F.broadcast(some), "id").select("id", "text", "grade")
     found = joined.select("text", "grade").mapInArrow(_featured, "grade int, slots array<int>").toArrow()
     # In an order of its own: sums of floats must not depend on how tasks end.
     rows = sorted((g, tuple(s)) for g, s in zip(found["grade"].to_pylist(), found["slots"].to_pylist()))
     return fit_rows([np.array(s, np.int64) for _, s in rows], np.array([g for g, _ in rows], np.int64))
 
 
-def predict(text: str | None, weights: np.ndarray, theta: np.ndarray, slots: dict[str, int], min_grade: int) -> tuple[float, float]:
-    """(expected grade, probability of at least min_grade)."""
-    at = np.unique(np.fromiter(map(slots.__getitem__, features(text or "")), np.int64))
-    tail = 1 - _sigmoid(theta - weights[at].sum())
-    return float(tail.sum()), float(tail[min_grade - 1]) if min_grade else 1.0
+def predict(texts: list[str | None], weights: np.ndarray, theta: np.ndarray, min_grade: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text, the expected grade and the probability of at least min_grade."""
+    z = np.array([weights[slots(t)].sum() for t in texts])
+    tail = 1 - _sigmoid(theta[None, :] - z[:, None])
+    return tail.sum(axis=1), tail[:, min_grade - 1] if min_grade else np.ones(len(z))
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_grade: int = MIN_GRADE) -> DataFrame:
+def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_grade: int = MIN_GRADE, text: str = "text") -> DataFrame:
     """The rows of docs with expected_grade and p_tail, the probability of at least min_grade.
 
-    A null text is scored like an empty one. Repeated rows get equal scores. Columns named expected_grade or p_tail, in
-    any case of letters, are replaced.
+    A null text is scored like an empty one; bytes that are no UTF-8 as replacement characters. Repeated rows get equal
+    scores. Columns named expected_grade or p_tail, in any case of letters, are replaced. Texts are scored whole.
     """
     docs = without(docs, "expected_grade", "p_tail")
     # Broadcast: BUCKETS weights, whatever the size of the input.
@@ -172,11 +175,13 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], min_grade: int
     def score(texts):
         import pandas as pd
 
-        slots = _Slots()
-        return pd.DataFrame([predict(t, *shared.value, slots, min_grade) for t in texts], columns=["expected_grade", "p_tail"])
+        expected, tail = predict(texts.tolist(), *shared.value, min_grade)
+        return pd.DataFrame({"expected_grade": expected, "p_tail": tail})
 
+    (box,) = fresh(docs, "score")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*columns, score("text").alias("__score")).select(*columns, "__score.expected_grade", "__score.p_tail")
+    made = docs.select(*columns, score(readable(F.col(f"`{text}`"))).alias(box))
+    return made.select(*columns, F.col(f"{box}.expected_grade"), F.col(f"{box}.p_tail"))
 
 
 def select(
