@@ -8,13 +8,14 @@ held-out counts of all documents.
 Documents are taken in batches. A batch sends each of its distinct n-grams once, as 64-bit hashes, to the shard that the
 hash names; the shard adds up all batches' counts and returns to each the totals of what it sent, in the order sent. So
 what is counted and what is looked up travel together. Estimates are kept in eighths of an octave: that makes the
-held-out counts a histogram of bounded size, on which the driver runs the iterations.
+held-out counts a histogram of bounded size, on which the driver runs the iterations: an estimate is no less than one
+in the number of words, so of N words there are log2(N) buckets and 8 log2(N) values of each estimate at most, which
+makes 13 million codes at order 2 for N = 2^45.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,33 +25,32 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from folioflow.llm.shared import written
+from folioflow.llm.shared import dropped, readable, split_words, written
 
 #: The longest n-grams.
 ORDER = 2
 #: Characters in a batch.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 2_000_000
 #: Bytes of n-grams that a shard should hold.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 #: Steps in an octave to which estimates are rounded.
 STEPS = 8
 ITERATIONS = 40
 
-_WORD = re.compile(r"\w+")
-_KEEP = 200_000
 _EDGE = np.array([0x5BD1E995, 0x27D4EB2F], np.uint64)  # begin and end of a document
 _SCALE = 1 << 10
 #: Context counts have buckets by their octave, and one for none.
 _BUCKETS = 64
 
 
-class _Hashes(dict):
+class _Numbers(dict):
+    """Words to numbers, in the order in which they come."""
+
     def __missing__(self, word: str) -> int:
-        if len(self) > _KEEP:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
+        n = self[word] = len(self)
+        return n
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -70,39 +70,39 @@ def _unsqueezed(blob: bytes, kind: type) -> np.ndarray:
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    return split_words(text.lower()) if text else []
 
 
-def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokenised(kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each batch: ids, numbers of words, distinct words' hashes and where in them each word is."""
-    hashes, part, at = _Hashes(), TaskContext.get().partitionId(), 0
+    part, at = TaskContext.get().partitionId(), 0
     names = ["batch", "ids", "lens", "vocabulary", "tokens"]
 
-    def row(ids, lens, flat):
-        seen = np.array(flat, np.uint64)
-        vocabulary, tokens, times = np.unique(seen, return_inverse=True, return_counts=True)
+    def row() -> pa.RecordBatch:
+        tokens = np.concatenate(flat)
+        vocabulary = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, numbers)), ">u8").astype(np.uint64)
         # Frequent words get small numbers.
-        order = np.argsort(-times, kind="stable")
+        order = np.argsort(-np.bincount(tokens, minlength=len(vocabulary)), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order))
         values = [[(part << 32) | at], [ids], [lens], [vocabulary[order].tobytes()], [_squeezed(rank[tokens])]]
-        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.list_(kind), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
 
-    ids, lens, flat, chars = [], [], [], 0
+    ids, lens, flat, chars, numbers = [], [], [], 0, _Numbers()
     for batch in batches:
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = words(t)
             ids.append(i)
             lens.append(len(found))
-            flat.extend(map(hashes.__getitem__, found))
+            flat.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
             chars += len(t or "") + 50
             if chars >= BATCH_CHARS:
-                yield row(ids, lens, flat)
+                yield row()
                 at += 1
-                ids, lens, flat, chars = [], [], [], 0
+                ids, lens, flat, chars, numbers = [], [], [], 0, _Numbers()
     if ids:
-        yield row(ids, lens, flat)
+        yield row()
 
 
 class _Grams:
@@ -178,7 +178,7 @@ def _counts(order: int, shards: int, batches: Iterator[pa.RecordBatch]) -> Itera
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by shard. For each, the totals; and under batch -1 the number of distinct words."""
+    """Rows come sorted by shard. For each, the totals; and in a row of batch -1 the number of distinct words."""
 
     def add(shard: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
         each = [_received(x) for _, x in rows]
@@ -189,8 +189,9 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.cumsum([0, *ns]).tolist()
         blobs = [_packed(sums[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
         known = int(((distinct & np.uint64(3)) == 1).sum())
-        columns = [pa.array([b for b, _ in rows] + [-1], pa.int64()), pa.array([shard] * (len(rows) + 1), pa.int32()), pa.array(blobs + [np.uint64(known).tobytes()], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, names=["batch", "shard", "blob"])
+        n = len(rows)
+        columns = [pa.array([b for b, _ in rows] + [-1], pa.int64()), pa.array([shard] * (n + 1), pa.int32()), pa.array([*blobs, None], pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([0] * n + [known], pa.int64())], names=["batch", "shard", "blob", "known"])
 
     last, rows = None, []
     for batch in batches:
@@ -227,7 +228,7 @@ def codes(estimates: list[np.ndarray], contexts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _events(order: int, shards: int, n_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _events(kind: pa.DataType, order: int, shards: int, n_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by batch and shard; the batch's words are under shard -1. The codes of each document's words."""
 
     def one(words_row: tuple, blobs: list[tuple[int, bytes]]) -> pa.RecordBatch:
@@ -268,7 +269,7 @@ def _events(order: int, shards: int, n_words: int, batches: Iterator[pa.RecordBa
         out: list = [(None, None)] * len(ids)
         for d, lo, hi in zip(grams.docs.tolist(), bounds, bounds[1:]):
             out[d] = found[first[lo:hi]].tobytes(), times[lo:hi].astype(np.uint32).tobytes()
-        columns = [pa.array(ids, pa.int64()), pa.array(lens, pa.int32()), pa.array([c for c, _ in out], pa.binary()), pa.array([n for _, n in out], pa.binary())]
+        columns = [pa.array(ids, kind), pa.array(lens, pa.int32()), pa.array([c for c, _ in out], pa.binary()), pa.array([n for _, n in out], pa.binary())]
         return pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "codes", "times"])
 
     last, row, blobs = None, None, []
@@ -337,34 +338,38 @@ def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", order: in
     """(id_col, n_words, log2_prob, perplexity) for each row of docs.
 
     log2_prob is that of the words and the end of the document; perplexity is per word, the end included. A null text, or
-    one without words, has null scores, and adds to no count. A null id is carried. Repeated rows are documents of their
+    one without words, has null scores, and adds to no count. Bytes that are no UTF-8 count as replacement characters, which
+    are no letters. Ids of any type are carried, null ones too. Repeated rows are documents of their
     own: each is scored with the counts of the others. Texts are counted and scored whole; other columns aren't carried.
     An empty table gives no rows.
     """
     if order not in (1, 2, 3):
         raise ValueError("order must be 1, 2 or 3")
-    source = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("t"))
-    staged = written(source.mapInArrow(_tokenised, "batch bigint, ids array<bigint>, lens array<int>, vocabulary binary, tokens binary"), "words")
+    source = docs.select(F.col(f"`{id_col}`").alias("id"), readable(F.col(f"`{text}`")).alias("t"))
+    kind = source.schema["id"].dataType
+    ids = kind.simpleString()
+    staged = written(source.mapInArrow(lambda x: _tokenised(to_arrow_type(kind), x), f"batch bigint, ids array<{ids}>, lens array<int>, vocabulary binary, tokens binary"), "words")
     size = staged.select(F.sum(F.expr("aggregate(lens, 0L, (n, x) -> n + x)")), F.sum(F.expr("aggregate(lens, 0L, (n, x) -> n + if(x > 0, x + 1, 0))"))).first()
     tokens, n_words = int(size[0] or 0), int(size[1] or 0)
     cores = docs.sparkSession.sparkContext.defaultParallelism
     shards = max(cores, math.ceil(9 * tokens * order / SHARD_BYTES))
     sent = staged.select("batch", "lens", "vocabulary", "tokens").mapInArrow(lambda x: _counts(order, shards, x), "shard int, batch bigint, blob binary")
-    totals = sent.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_totals, "batch bigint, shard int, blob binary")
+    totals = sent.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_totals, "batch bigint, shard int, blob binary, known bigint")
     totals = written(totals, "totals")
-    known = totals.where("batch = -1").select(F.col("blob")).toLocalIterator()
-    uniform = 1 / (1 + sum(int.from_bytes(r.blob, "little") for r in known))
+    uniform = 1 / (1 + (totals.agg(F.sum("known")).first()[0] or 0))
     back = staged.select("batch", F.lit(-1).alias("shard"), "ids", "lens", "vocabulary", "tokens", F.lit(None).cast("binary").alias("blob")).unionByName(
-        totals.where("batch >= 0"), allowMissingColumns=True
+        totals.where("batch >= 0").drop("known"), allowMissingColumns=True
     )
     tasks = max(cores, math.ceil(8 * tokens / SHARD_BYTES))
     events = back.repartition(tasks, "batch").sortWithinPartitions("batch", "shard")
-    events = events.mapInArrow(lambda x: _events(order, shards, n_words, x), "id bigint, n_words int, codes binary, times binary")
+    events = events.mapInArrow(lambda x: _events(to_arrow_type(kind), order, shards, n_words, x), f"id {ids}, n_words int, codes binary, times binary")
     events = written(events, "events")
+    dropped(totals)
+    dropped(staged)
     counted = events.select("codes", "times").mapInArrow(_histogram, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     code, n = counted["code"].to_numpy(), counted["n"].to_numpy()
     by_code = np.argsort(code)
     weights = fit(code[by_code], n[by_code].astype(np.float64), order, uniform)
-    schema = f"`{id_col}` bigint, n_words int, log2_prob double, perplexity double"
+    schema = f"`{id_col}` {ids}, n_words int, log2_prob double, perplexity double"
     named = events.withColumnRenamed("id", id_col)
     return named.mapInArrow(lambda x: _scores(order, uniform, weights, x), schema)
