@@ -23,11 +23,15 @@ from folioflow.llm.shared import fresh, without, written
 #: Bytes of distinct contents that one table may hold.
 BUCKET_BYTES = 64 << 20
 #: Bytes of copies of a single content from which it is deduplicated in salted parts first.
-HOT_BYTES = 256 << 20
+HOT_BYTES = 32 << 20
 #: Bits of the hash by which a bucket that is too large is partitioned again.
 FANOUT_BITS = 4
 #: At most so many contents are treated as hot: the hottest bytes threshold rises with the input to hold this.
-MAX_HOT = 100_000
+MAX_HOT = 1_000_000
+#: At most so many buckets of a level are named as to be split; where more are too large, all of the level are split.
+MAX_SPLIT = 1000
+#: Partitions of the shuffle at most: buckets come one after the other in a partition, so their number needs no bound.
+MAX_PARTITIONS = 20_000
 
 
 class OpenTable:
@@ -36,9 +40,9 @@ class OpenTable:
     def __init__(self) -> None:
         self.slots = [-1] * 64
         self.hashes: list[int] = []
-        self.contents: list[str] = []
+        self.contents: list[bytes] = []
 
-    def add(self, content: str) -> tuple[int, bool]:
+    def add(self, content: bytes) -> tuple[int, bool]:
         """The content's entry and whether it is new."""
         h = hash(content)
         mask = len(self.slots) - 1
@@ -88,7 +92,7 @@ def _deduplicate(key: int, counts: int, batches: Iterator[pa.RecordBatch]) -> It
                 yield from flush()
                 table, kept, sums, where, bucket = OpenTable(), [], [], [], at
             new = []
-            for i, (content, n) in enumerate(zip(run.column(key).to_pylist(), run.column(counts).to_pylist())):
+            for i, (content, n) in enumerate(zip(_bytes(run.column(key)), run.column(counts).to_pylist())):
                 if content is not None:
                     entry, first = table.add(content)
                     if not first:
@@ -102,29 +106,38 @@ def _deduplicate(key: int, counts: int, batches: Iterator[pa.RecordBatch]) -> It
     yield from flush()
 
 
-def _leaf(h: Column, bits: int, split: list[list[int]]) -> Column:
+def _bytes(column: pa.Array) -> list[bytes | None]:
+    return (column.cast(pa.binary()) if pa.types.is_string(column.type) else column).to_pylist()
+
+
+def _leaf(h: Column, bits: int, split: list[list[int] | None]) -> Column:
     """The bucket of a hash: its first bits, and more of them where the bucket so far is among those to split."""
     out = F.shiftrightunsigned(h, 64 - bits) if bits else F.lit(0).cast("bigint")
     depth = F.lit(bits)
     for level, prefixes in enumerate(split):
         wide = bits + FANOUT_BITS * (level + 1)
-        deeper = (depth == wide - FANOUT_BITS) & out.isin(prefixes)
+        deeper = depth == wide - FANOUT_BITS
+        if prefixes is not None:
+            deeper &= out.isin(prefixes)
         depth = F.when(deeper, F.lit(wide)).otherwise(depth)
         out = F.when(deeper, F.shiftrightunsigned(h, 64 - wide)).otherwise(out)
     return F.xxhash64(out, depth)
 
 
-def _oversize(sizes: DataFrame, bits: int, bucket_bytes: int) -> list[list[int]]:
-    """By level, the buckets of several contents that are larger than bucket_bytes; each level looks into those of the last."""
+def _oversize(sizes: DataFrame, bits: int, bucket_bytes: int) -> list[list[int] | None]:
+    """By level, the buckets of several contents that are larger than bucket_bytes, or None for all buckets of the level;
+    each level looks into those of the last."""
     levels, within = [], sizes
     while bits + FANOUT_BITS <= 63:
         prefix = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("bigint")
         large = within.groupBy(prefix.alias("p")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
-        found = [r.p for r in large.where((F.col("bytes") > bucket_bytes) & (F.col("n") > 1)).select("p").collect()]
+        large = large.where((F.col("bytes") > bucket_bytes) & (F.col("n") > 1)).select("p")
+        found = [r.p for r in large.limit(MAX_SPLIT + 1).collect()]
         if not found:
             break
-        levels.append(found)
-        within = within.where(prefix.isin(found))
+        levels.append(found if len(found) <= MAX_SPLIT else None)
+        if levels[-1]:
+            within = within.where(prefix.isin(found))
         bits += FANOUT_BITS
     return levels
 
@@ -139,7 +152,7 @@ def exact_dedup(
     """The rows of docs less all but one of those with equal content, and n_copies, how many rows it stands for.
 
     Of equal contents the row of the smallest id stays (a null id comes last; among equal ids any one row). Contents
-    are compared byte by byte, whole. A row whose content is null equals no other and stays with n_copies 1; empty
+    are compared byte by byte, whole, also where they are no UTF-8. A row whose content is null equals no other and stays with n_copies 1; empty
     contents are equal to one another. Very long contents are treated like others: a single one larger than
     bucket_bytes has its bucket to itself. An empty table gives an empty table. Other columns are carried along; a
     column named n_copies, in any case of letters, is replaced.
@@ -159,7 +172,7 @@ def exact_dedup(
     split = _oversize(sizes, bits, bucket_bytes)
     hot_from = max(hot_bytes, everything // MAX_HOT)
     hot = sizes.where((F.col("bytes") * F.col("n") > hot_from) & (F.col("n") > 1)).select(F.col("h").alias(hash_))
-    partitions = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(everything / (bucket_bytes / 2)))
+    partitions = max(docs.sparkSession.sparkContext.defaultParallelism, min(MAX_PARTITIONS, math.ceil(everything / (bucket_bytes / 2))))
 
     def once(rows: DataFrame, salt: Column) -> DataFrame:
         """rows have the counts so far. Nulls, which need no table, are spread by id."""
@@ -173,7 +186,7 @@ def exact_dedup(
     none = F.lit(0).cast("bigint")
     if not hot.limit(1).count():
         return once(rows, none)
-    # At most MAX_HOT hashes of 8 bytes, whatever the input's size.
+    # At most MAX_HOT hashes of 8 bytes, so 8 MB, whatever the input's size.
     marked = rows.withColumn(hash_, h)
     many = marked.join(F.broadcast(hot), hash_, "left_semi").drop(hash_)
     others = marked.join(F.broadcast(hot), hash_, "left_anti").drop(hash_)
