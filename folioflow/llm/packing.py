@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.shared import written
+from folioflow.llm.shared import readable, written
 
 #: Characters in a sequence.
 CAPACITY = 8192
@@ -25,8 +25,10 @@ CAPACITY = 8192
 UNITS = 64
 #: Documents in a pattern at most.
 MAX_PARTS = 4
-#: Pieces of one bin that a task ranks, about, if bins are alike: at most so many times the capacity in characters.
+#: Pieces of one bin that a task ranks, about, at most.
 RANK_ROWS = 4_000
+#: Characters of such pieces, about.
+RANK_CHARS = 8_000_000
 
 
 def patterns(units: int = UNITS, parts: int = MAX_PARTS) -> list[tuple[int, ...]]:
@@ -151,12 +153,12 @@ def pack(
 
     texts has the pieces of text, doc_ids their documents and starts where in the document each begins, in characters.
     Every character of every document is in one piece. Pieces of a sequence have capacity characters at most in all.
-    Null and empty texts are in no sequence; null ids are carried; repeated rows are packed each; other columns aren't
+    Bytes that are no UTF-8 become replacement characters. Null and empty texts are in no sequence; null ids are carried; repeated rows are packed each; other columns aren't
     carried. An empty table gives no sequences. Equal input gives equal sequences.
     """
     if capacity % units:
         raise ValueError("capacity must be a multiple of units")
-    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(F.length("text") > 0)
+    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), readable(F.col(f"`{text}`")).alias("text")).where(F.length("text") > 0)
     unit = capacity // units
     whole = F.expr(f"sequence(0L, (length(text) - 1L) div {capacity})")
     length = F.least(F.length("text") - F.col("start"), F.lit(capacity))
@@ -169,13 +171,20 @@ def pack(
     histogram = Counter({r["bin"]: r["k"] for r in counted})
     histogram[units] += sum(r["full"] for r in counted)
     ranges = _ranges(plan(histogram, units, parts))
-    shares = max(1, math.ceil(max(histogram.values()) / RANK_ROWS))
-
-    rows = source.select("doc_id", "text", F.explode(whole).alias("k")).select("doc_id", (F.col("k") * capacity).cast("int").alias("start"), "text")
-    rows = rows.select("doc_id", "start", bin_.alias("bin"), F.expr(f"substring(text, start + 1, {capacity})").alias("text"))
+    # As many shares for each bin as its pieces need by number, and by characters if they are long ones.
+    shares = {b: max(1, math.ceil(n / RANK_ROWS), math.ceil(n * b * unit / RANK_CHARS)) for b, n in histogram.items()}
+
+    # A long text is cut in four bytes a character, where a place is found at once. Java would take a mark of the byte
+    # order at the beginning of a piece as no text: a space goes before it.
+    wide = F.when(F.length("text") > capacity, F.encode("text", "UTF-32"))
+    rows = source.select("doc_id", "text", wide.alias("wide"), F.explode(whole).alias("k"))
+    rows = rows.select("doc_id", (F.col("k") * capacity).cast("int").alias("start"), "text", "wide")
+    cut = F.expr(f"substring(decode(concat(X'00000020', substring(wide, 4 * start + 1, 4 * {capacity})), 'UTF-32'), 2, {capacity})")
+    rows = rows.select("doc_id", "start", bin_.alias("bin"), F.when(F.col("wide").isNull(), F.col("text")).otherwise(cut).alias("text"))
+    of_bin = F.element_at(F.array(*[F.lit(shares.get(b, 1)) for b in range(1, units + 1)]), F.col("bin"))
     # Bins are ranked in shares, so that no task ranks all of a bin; each share starts where those before it end.
-    rows = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "start", "text"), F.lit(shares)).cast("int"))
-    if shares == 1:
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "start", "text"), of_bin).cast("int"))
+    if max(shares.values()) == 1:
         rows = rows.withColumn("first", F.lit(0).cast("bigint"))
     else:
         # Counted in a scan of its own: cheaper than to write the pieces.
