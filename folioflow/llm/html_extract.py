@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.llm.shared import fresh, without, written
+from folioflow.llm.shared import fresh, readable, without, written
 
 #: Different pages of a host on which a subtree has to occur at least to be part of the template.
 MIN_PAGES = 5
@@ -64,56 +65,63 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("hashes", "name", "parts", "zone")
+    __slots__ = ("hashes", "name", "start", "zone")
 
-    def __init__(self, name: str, zone: frozenset[str] | None = None) -> None:
+    def __init__(self, name: str, start: int, zone: frozenset[str] | None = None) -> None:
         self.name = name
+        #: Where in the page's parts of text its own begin.
+        self.start = start
         #: What it is inside of: _CONTENT, _FURNITURE or None.
         self.zone = _CONTENT if name in _CONTENT else _FURNITURE if name in _FURNITURE or name in _MARGIN and zone is None else zone
         self.hashes: list[str] = []
-        self.parts: list[str] = []
 
 
 def parse(page: str, drop: frozenset[int] = frozenset()) -> tuple[str, set[int]]:
     """(text, hashes): the text of page without the subtrees in drop, and the hashes of its block subtrees with text.
 
     Blocks are lines; white space is one space. Elements left open end with what holds them; closing tags of what isn't
-    open are ignored. Scripts, styles, heads and other hidden elements have no text.
+    open are ignored. Scripts, styles, heads and other hidden elements have no text. Takes time in proportion to the page,
+    however deep its elements are.
     """
-    root = _Element("")
-    stack, seen, hidden, at = [root], set(), 0, 0
+    stack, parts, seen, hidden, at = [_Element("", 0)], [], set(), 0, 0
+    #: Where in the stack the open elements of each name are.
+    depths: dict[str, list[int]] = {}
 
     def close() -> None:
         nonlocal hidden
         e = stack.pop()
+        depths[e.name].pop()
         if e.name in _HIDDEN:
             hidden -= 1
+            del parts[e.start :]
             return
-        up = stack[-1]
-        if not e.hashes:
-            if e.name in _BLOCK:
-                up.parts.append("\n")
-            return
-        h = xxhash.xxh3_64_intdigest((e.name + "\0" + "\1".join(e.hashes)).encode("utf-8", "surrogatepass")) - (1 << 63)
-        # The parent's hash has it without the bit: equal subtrees have equal hashes wherever they are.
-        own = h & ~1 | (e.zone is _CONTENT or e.zone is None and e.name not in _CONTAINER)
-        if e.name in _BLOCK:
-            seen.add(own)
-        up.hashes.append(f"\2{h}")
-        if own in drop and e.name in _BLOCK:
-            up.parts.append("\n")
-        elif e.name in _BLOCK:
-            up.parts += "\n", *e.parts, "\n"
-        else:
-            up.parts += e.parts
+        block = e.name in _BLOCK
+        if e.hashes:
+            h = xxhash.xxh3_64_intdigest((e.name + "\0" + "\1".join(e.hashes)).encode("utf-8", "surrogatepass")) - (1 << 63)
+            # The parent's hash has it without the bit: equal subtrees have equal hashes wherever they are.
+            own = h & ~1 | (e.zone is _CONTENT or e.zone is None and e.name not in _CONTAINER)
+            if block:
+                seen.add(own)
+            stack[-1].hashes.append(f"\2{h}")
+        if not e.hashes or block and own in drop:
+            del parts[e.start :]
+        if block:
+            parts.append("\n")
 
     def text(s: str) -> None:
         if s and not hidden:
             s = _SPACE.sub(" ", entities.unescape(s) if "&" in s else s)
-            stack[-1].parts.append(s)
+            parts.append(s)
             if s != " ":
                 stack[-1].hashes.append(s.strip())
 
+    def innermost(names: frozenset[str] | set[str]) -> int:
+        return max((d[-1] for n in names if (d := depths.get(n))), default=0)
+
+    def close_down_to(depth: int) -> None:
+        while len(stack) > depth:
+            close()
+
     while True:
         m = _TOKEN.search(page, at)
         if not m:
@@ -125,26 +133,22 @@ def parse(page: str, drop: frozenset[int] = frozenset()) -> tuple[str, set[int]]
             continue
         name = m[2].lower()
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    while len(stack) > depth:
-                        close()
-                    break
+            if found := depths.get(name):
+                close_down_to(found[-1])
             continue
         if name == "br" or name == "hr":
-            stack[-1].parts.append("\n")
+            parts.append("\n")
         if name in _VOID:
             continue
         ends, within = _ENDS.get(name) or (_PARAGRAPH if name in _BLOCK else (None, None))
         if name == "body":
             ends, within = {"head"}, {"html"}
         if ends:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name in ends:
-                    while len(stack) > depth:
-                        close()
-                elif stack[depth].name in within:
-                    break
+            # All that this tag ends, from the innermost on, up to what it doesn't look beyond.
+            limit = innermost(within - ends)
+            beyond = [d[bisect(d, limit)] for n in ends if (d := depths.get(n)) and d[-1] > limit]
+            if beyond:
+                close_down_to(min(beyond))
         if name in _RAW:
             end = _RAW[name].search(page, at)
             if name not in _HIDDEN:
@@ -152,10 +156,12 @@ def parse(page: str, drop: frozenset[int] = frozenset()) -> tuple[str, set[int]]
             at = (page.find(">", end.start()) + 1 or len(page)) if end else len(page)
             continue
         hidden += name in _HIDDEN
-        stack.append(_Element(name, stack[-1].zone))
-    while len(stack) > 1:
-        close()
-    lines = (_SPACE.sub(" ", x).strip() for x in "".join(root.parts).split("\n"))
+        depths.setdefault(name, []).append(len(stack))
+        stack.append(_Element(name, len(parts), stack[-1].zone))
+        if name in _BLOCK and not hidden:
+            parts.append("\n")
+    close_down_to(1)
+    lines = (_SPACE.sub(" ", x).strip() for x in "".join(parts).split("\n"))
     return "\n".join(x for x in lines if x), seen
 
 
@@ -175,7 +181,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, one_in: int = ONE_IN, one_in_prose: int = ONE_IN_PROSE) -> DataFrame:
     """(page, drop): for each different page of a host, by the hash of both, which subtrees belong to the template. The
     hashes in drop are mixed with the host's."""
-    keyed = pages.select(_host(url).alias("host"), _page(url, html).alias("page"), F.col(f"`{html}`").alias("html"))
+    keyed = pages.select(_host(url).alias("host"), _page(url, html).alias("page"), readable(F.col(f"`{html}`")).alias("html"))
     hashed = keyed.where("host is not null and html is not null").mapInArrow(_hashed, "page bigint, site bigint, hashes array<bigint>")
     different = written(hashed.dropDuplicates(["page"]), "subtrees")
     sizes = different.groupBy("site").agg(F.count("*").alias("pages"))
@@ -187,11 +193,11 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html", min_pages:
 
 
 def _page(url: str, html: str):
-    return F.xxhash64(_host(url), F.col(f"`{html}`"))
+    return F.xxhash64(_host(url), readable(F.col(f"`{html}`")))
 
 
 def _host(url: str):
-    found = F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    found = F.lower(F.regexp_extract(readable(F.col(f"`{url}`")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return F.when(found != "", found)
 
 
@@ -216,7 +222,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """The rows of pages less html, with host and text: what each page says without its host's template.
 
-    A null html gives a null text, an empty one an empty text. Where url is null or has no host, host is null and nothing
+    A null html gives a null text, an empty one an empty text. Bytes that are no UTF-8 are read as replacement characters. Where url is null or has no host, host is null and nothing
     counts as template. Repeated rows, and equal pages of one host, count as one page and get equal texts. Pages of any
     length are parsed whole. Columns named host or text, in any case of letters, are replaced. An empty table gives an
     empty table.
@@ -226,7 +232,7 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", min_pages: i
     kept = [c for c in without(pages, "host", "text").columns if c in kept]
     host, page, drop = fresh(rows, "__host", "__page", "__drop")
     # The pages move once, to meet what is dropped from them, and compressed well.
-    keyed = rows.withColumns({host: _host(url), page: _page(url, html)}).withColumn(html, _squeezed(F.col(f"`{html}`")))
+    keyed = rows.withColumns({host: _host(url), page: _page(url, html)}).withColumn(html, _squeezed(readable(F.col(f"`{html}`"))))
     known = templates(pages, url, html, min_pages).toDF(page, drop)
     joined = keyed.join(known, page, "left")
     columns = [F.col(f"`{c}`") for c in kept] + ([F.col(f"`{url}`")] if url.lower() not in ("host", "text") else [])
