@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioflow.llm.shared import fresh, without, worker_cache
+from folioflow.llm.shared import fresh, readable, without, worker_cache
 
 #: Bits per character that the value of an assignment needs to look random.
 MIN_ENTROPY = 3.0
@@ -106,8 +106,8 @@ RULES = (
     Rule("private_key", ("-----begin ",), re.compile(r"-----BEGIN ((?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY)-----[^-]*(?:-(?!----)[^-]*)*-----END \1-----"), _pem_ok),
     Rule("aws_key", ("akia", "asia"), re.compile(r"(?<![A-Za-z0-9])A[KS]IA[A-Z2-7]{16}(?![A-Za-z0-9])")),
     Rule("google_key", ("aiza",), re.compile(r"(?<![\w-])AIza[\w-]{35}(?![\w-])")),
-    Rule("slack_token", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), re.compile(r"(?<![\w-])xox[abprs]-[A-Za-z0-9-]{10,250}")),
-    Rule("stripe_key", ("sk_live_", "rk_live_"), re.compile(r"(?<![A-Za-z0-9])[sr]k_live_[A-Za-z0-9]{24,250}")),
+    Rule("slack_token", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), re.compile(r"(?<![\w-])xox[abprs]-[A-Za-z0-9-]{10,}")),
+    Rule("stripe_key", ("sk_live_", "rk_live_"), re.compile(r"(?<![A-Za-z0-9])[sr]k_live_[A-Za-z0-9]{24,}")),
     Rule(
         "assignment",
         ("token", "secret", "passwd", "password", "api_key", "apikey", "api-key", "access_key", "private_key", "auth_key"),
@@ -199,10 +199,10 @@ def _findings(schema: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterato
 def findings(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id_col, kind, start_pos, end_pos, checksum, sha256): a row for each secret of each row of docs, never the secret.
 
-    sha256 is that of the secret. Rows with a null or empty text give none; a null id is carried; repeated rows give
+    sha256 is that of the secret. Bytes that are no UTF-8 count as replacement characters. Rows with a null or empty text give none; a null id is carried; repeated rows give
     repeated findings; other columns are not carried. An empty table gives no rows.
     """
-    columns = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text}`"))
+    columns = docs.select(F.col(f"`{id_col}`"), readable(F.col(f"`{text}`")).alias(text))
     kinds = "kind string, start_pos int, end_pos int, checksum boolean, sha256 string"
     schema = T.StructType([columns.schema.fields[0], *T._parse_datatype_string(kinds).fields])
     return columns.mapInArrow(lambda x: _findings(None, x), schema)
@@ -211,7 +211,7 @@ def findings(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs with secrets replaced in the text, and n_secrets, how many there were.
 
-    Null and empty texts stay as they are, with n_secrets 0. A column n_chars, if there is one, gets the new length where
+    Null and empty texts stay as they are, with n_secrets 0. Bytes that are no UTF-8 become replacement characters. A column n_chars, if there is one, gets the new length where
     the text changed. All rows stay, repeated ones too. A column named n_secrets, in any case of letters, is replaced.
     """
     docs = without(docs, "n_secrets")
@@ -224,7 +224,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         out = [(t, scan(t)) for t in texts]
         return pd.DataFrame({"t": [redacted(t, f) for t, f in out], "n": [len(f) for _, f in out]})
 
-    rows = docs.withColumn(done, clean(F.col(f"`{text}`")))
+    rows = docs.withColumn(done, clean(readable(F.col(f"`{text}`"))))
     new = {text: F.col(f"{done}.t")}
     for c in docs.columns:
         if c.lower() == "n_chars" and c != text:
