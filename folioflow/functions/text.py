@@ -20,6 +20,20 @@ def skeleton(text: Column, letters: str = r"\p{L}") -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, rf"[^{letters} \t\r\n]", ""), r"[ \t\r\n]+", " "))
 
 
+def plain_skeleton(text: str) -> str:
+    """The same of a Python string."""
+    return " ".join("".join(c for c in text if c.isalpha() or c in " \t\r\n").split())
+
+
+#: What Python takes for white space, as characters of an expression.
+SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def stripped(text: Column) -> Column:
+    """text without white space of any kind at its ends."""
+    return F.regexp_replace(text, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(skeleton(text), " "), lambda w: w != "")
 
@@ -31,7 +45,7 @@ def lines(text: Column) -> Column:
 
 @F.pandas_udf(T.StringType())
 def nfc(texts):
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+    return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
 
 
 @F.pandas_udf(T.StringType())
@@ -46,16 +60,52 @@ def folded(text: Column) -> Column:
 
 
 def without_tags(page: Column) -> Column:
-    """Comments, images, tags, lengthened letters and all white space dropped."""
-    plain = F.regexp_replace(F.regexp_replace(page, r"(?s)<!--.*?-->", ""), r"!\[[^\]]*\]\([^)]*\)", "")
-    plain = F.regexp_replace(plain, r"<[^>]*>", "")
-    return F.regexp_replace(F.translate(plain, " ـ", " "), r"[ \t\r\n]+", "")
+    """Comments, images, tags, lengthened letters and all white space dropped, and entities read."""
+    plain = F.regexp_replace(F.regexp_replace(page, r"(?s)<!--.*?-->", ""), r"!\[[^\]]*\]\([^)]*\)", " ")
+    plain = unescaped(F.regexp_replace(plain, r"<[^>]+>", " "))
+    return F.regexp_replace(plain, rf"[ـ{SPACE}]+", "")
+
+
+def stripped_lines(text: Column) -> Column:
+    """The lines that aren't blank, without white space of any kind at their ends."""
+    return F.filter(F.transform(F.split(text, "\n"), stripped), lambda s: s != "")
 
 
 def cleaned(page: Column) -> Column:
-    """Line breaks kept as lines, tags dropped, entities read, blank lines dropped."""
+    """Line breaks kept as lines, tags and lengthened letters dropped, entities read, blank lines dropped."""
     broken = F.regexp_replace(page, r"(?i)<br\s*/?>", "\n")
-    return F.array_join(lines(unescaped(F.regexp_replace(broken, r"<[^>]*>", ""))), "\n")
+    return F.array_join(stripped_lines(F.replace(unescaped(F.regexp_replace(broken, r"<[^>]+>", "")), F.lit("ـ"), F.lit(""))), "\n")
+
+
+def largest_of(digits: Column) -> Column:
+    """The largest of a group's whole numbers of any length, given and returned as their digits."""
+    plain = F.regexp_replace(digits, "^0+(?=.)", "")
+    return F.max_by(plain, F.struct(F.length(plain), plain))
+
+
+def capped(slug_: Column, most: int = 80) -> Column:
+    """A slug of at most so many characters, cut at its last hyphen there if there is one."""
+    head = F.substring(slug_, 1, most)
+    at_word = F.regexp_extract(head, r"^(.+)-[^-]*$", 1)
+    cut = F.regexp_replace(F.when(at_word == "", head).otherwise(at_word), "^-+|-+$", "")
+    return F.when(F.length(slug_) <= most, slug_).otherwise(cut)
+
+
+def one_line(text: Column) -> Column:
+    """Line ends as spaces."""
+    return F.regexp_replace(text, r"\r\n|\r|\n", " ")
+
+
+def quoted(text: Column) -> Column:
+    """text as a JSON string."""
+    out = text
+    for plain, mark in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
+        out = F.replace(out, F.lit(plain), F.lit(mark))
+    rare = out
+    for code in (*range(8), 11, *range(14, 32)):
+        rare = F.replace(rare, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+    out = F.when(out.rlike(r"[\x00-\x1f]"), rare).otherwise(out)
+    return F.concat(F.lit('"'), out, F.lit('"'))
 
 
 def slug(title: Column, most: int = 80) -> Column:
@@ -73,6 +123,12 @@ def image_path(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, r"-\d+x\d+(\.[^.]*)$", "$1"), r"-\d+(\.[^.]*)$", "$1")
 
 
+def thumb(text: Column) -> Column:
+    """The address of the first image; null if there is none."""
+    found = F.regexp_extract(text, r"!\[[^\]]*\]\(([^)]+)\)", 1)
+    return F.when(found != "", found)
+
+
 def incipit(text: Column, most: int = 13) -> Column:
     """The first words of the first line that isn't blank and isn't an image."""
     first = F.get(F.filter(lines(text), lambda s: ~s.startswith("![")), F.lit(0))
@@ -86,16 +142,3 @@ def local_digits(number: Column) -> Column:
 
 def latin_digits(text: Column) -> Column:
     return F.translate(text, DIGITS[1], DIGITS[0])
-
-
-def line_kind(line: Column) -> Column:
-    """The first kind that fits, by the line's form and length."""
-    n = F.length(line)
-    return (
-        F.when(line.rlike(r"^[*۰-]{2,}$"), "separator")
-        .when(line.rlike(r"^[0-9۰-۹۔. \t]+\z"), "toc")
-        .when(n >= 101, "prose")
-        .when(n.between(15, 62), "verse")
-        .when(n.between(63, 100), "run_together")
-        .otherwise("unknown")
-    )

@@ -1,109 +1,207 @@
-"""What depends on all that came before it in a book: grouped by book, in pandas."""
+"""What depends on all that came before it: a file or a verse run at a time, in pandas."""
 
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from folioflow.functions.codepage import BACK, CODES
+
 _FOLD = str.maketrans("آۂۃؤۓق", "اہہوےک")
+LETTERS = "ابپتٹثجچحخدڈذرڑزژسشصضطظعغفقکگلمنںوئیےہھآءۂۓؤۃ"
 LOOK_AHEAD = 4
 SHORTEST_RHYME = 2
-
-
-def paragraphs(data: bytes) -> list[tuple[list[int], int]]:
-    """(codes, geometry) of each paragraph: 04 begins a code, 0D ends a paragraph and has four bytes of geometry."""
-    out, codes, at = [], [], 0
-    while at < len(data):
-        if data[at] == 0x04 and at + 1 < len(data):
-            codes.append(data[at + 1])
+#: Couplets from which on a poem's rhyme is settled, and of a rest that may go back to the poem before it.
+SETTLED = 3
+REST = 2
+_DIGITS = frozenset("۰۱۲۳۴۵۶۷۸۹")
+Couplet = tuple[str, str]
+
+
+def walk(data: bytes) -> list[tuple[list[tuple[int, int]], int]]:
+    """((place, code) pairs, geometry) of each paragraph: 04 begins a code, 0D ends a paragraph and has four bytes of
+    geometry, which is 0 where the file ends within them. The last paragraph needs no end."""
+    out, pairs, at = [], [], 0
+    while at < len(data) - 1:
+        if data[at] == 0x04:
+            pairs.append((at, data[at + 1]))
             at += 2
         elif data[at] == 0x0D:
-            if codes:
-                out.append((codes, int.from_bytes(data[at + 1 : at + 5], "little")))
-            codes, at = [], at + 5
+            geometry = data[at + 1 : at + 5]
+            out.append((pairs, int.from_bytes(geometry, "little") if len(geometry) == 4 else 0))
+            pairs, at = [], at + 5
         else:
             at += 2
-    if codes:
-        out.append((codes, 0))
+    return [*out, (pairs, 0)]
+
+
+def by_run(pairs: list[tuple[int, int]], least: int = 2) -> tuple[list[int], list[int]]:
+    """The codes in runs of at least so many neighbours, two bytes apart, and the others."""
+    kept, alone, run = [], [], []
+    for n, (at, code) in enumerate(pairs):
+        if run and at != pairs[n - 1][0] + 2:
+            (kept if len(run) >= least else alone).extend(run)
+            run = []
+        run.append(code)
+    (kept if len(run) >= least else alone).extend(run)
+    return kept, alone
+
+
+def digits_turned(chars: list[str], codes: list[int]) -> tuple[list[str], list[int]]:
+    """Each maximal run of digits in the reverse order, in both lists."""
+    order, n = [], 0
+    while n < len(chars):
+        end = n
+        while end < len(chars) and chars[end] in _DIGITS:
+            end += 1
+        order += range(end - 1, n - 1, -1) if end > n else [n]
+        n = max(end, n + 1)
+    return [chars[k] for k in order], [codes[k] for k in order]
+
+
+def decoded(data: bytes) -> list[tuple[str, int, str, list[int]]]:
+    """(text, geometry, raw, codes) of the paragraphs of an older book file that have text."""
+    out = []
+    for pairs, geometry in walk(data):
+        codes = [c for c in by_run(pairs)[0] if c >= 0x20]
+        chars = [CODES.get(c, "") for c in codes]
+        if any(c in CODES for c in codes):
+            chars, codes = digits_turned(chars, codes)
+            raw = "".join(chars)
+            if text := unicodedata.normalize("NFC", raw).strip():
+                out.append((text, geometry, raw, codes))
     return out
 
 
+def synthesised(text: str) -> list[tuple[str, int, str, list[int]]]:
+    """The same of a newer book's text, whose lines are parted by carriage returns: a blank line or an ornament begins
+    a stanza, and its lines are first and second ones in turn."""
+    out, first = [], True
+    for line in map(str.strip, text.split("\r")):
+        if line == "O":
+            out.append(("۰۰۰", 0, "۰۰۰", []))
+        elif line:
+            out.append((line, 63 if first else 1, line, []))
+        first = not (line and line != "O" and first)
+    return out
+
+
+def _expanded(files: DataFrame, rows_of: Callable[[object], list], kind: str) -> DataFrame:
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            rows = [(s, i, *row) for s, data in zip(b.iloc[:, 0], b.iloc[:, 1]) for i, row in enumerate(rows_of(data))]
+            yield pd.DataFrame(rows, columns=["book_slug", "idx", "text", "geometry", "raw", "codes"])
+
+    return files.select("book_slug", kind).mapInPandas(run, "book_slug string, idx int, text string, geometry bigint, raw string, codes array<int>")
+
+
 def decode(files: DataFrame) -> DataFrame:
-    """(book_slug, idx, codes, geometry) of files (book_slug, content). Null and empty contents have no paragraphs."""
+    """(book_slug, idx, text, geometry, raw, codes) of files (book_slug, content) of the older format, a file in one
+    task. Null and empty contents have no paragraphs."""
+    return _expanded(files, lambda data: decoded(bytes(data or b"")), "content")
+
+
+def decode_newer(texts: DataFrame) -> DataFrame:
+    """The same of texts (book_slug, text) of the newer format."""
+    return _expanded(texts, lambda text: synthesised(text or ""), "text")
+
+
+def excluded(files: DataFrame) -> DataFrame:
+    """(book_slug, isolated, mapped): how many codes stand alone and are left out, and how many of them the code page has."""
 
     def run(batches):
         import pandas as pd
 
         for b in batches:
-            rows = [(s, i, c, g) for s, data in zip(b.book_slug, b.content) for i, (c, g) in enumerate(paragraphs(bytes(data or b"")))]
-            yield pd.DataFrame(rows, columns=["book_slug", "idx", "codes", "geometry"])
+            alone = [[c for pairs, _ in walk(bytes(x or b"")) for c in by_run(pairs)[1]] for x in b.content]
+            yield pd.DataFrame({"book_slug": b.book_slug, "isolated": list(map(len, alone)), "mapped": [sum(c in CODES for c in x) for x in alone]})
+
+    return files.select("book_slug", "content").mapInPandas(run, "book_slug string, isolated bigint, mapped bigint")
+
 
-    return files.select("book_slug", "content").mapInPandas(run, "book_slug string, idx int, codes array<int>, geometry bigint")
+def encoded_again(raw: str) -> list[int]:
+    """The codes of what of raw the code page has."""
+    return [BACK[c] for c in raw if c in BACK]
 
 
-def rhyme_key(line: str) -> str:
-    plain = " ".join(re.sub(r"[^\w\s]|_", "", line).split()).translate(_FOLD)
-    return re.sub(r"ہ(?=\s|$)", "ا", plain)
+def skeleton(line: str, letters: str | None = None) -> str:
+    """The letters and single spaces of a line. letters: those of the alphabet; all of Unicode's if None."""
+    plain = "".join(c for c in line if c.isspace() or (c.isalpha() if letters is None else c in letters))
+    return " ".join(plain.split())
 
 
-def common_end(lines: list[str]) -> str:
-    if not lines:
+def rhyme_key(line: str, letters: str | None = None) -> str:
+    """What of a line rhymes: variants of a letter are one, and a final ہ is ا."""
+    return re.sub(r"ہ(?=\s|\Z)", "ا", skeleton(line, letters).translate(_FOLD))
+
+
+def common_end(keys: list[str]) -> str:
+    if not keys:
         return ""
-    n = 0
-    while n < min(map(len, lines)) and len({x[len(x) - 1 - n] for x in lines}) == 1:
-        n += 1
-    return lines[0][len(lines[0]) - n :]
+    low, high = min(map(len, keys)), 0
+    while high < low and len({k[-1 - high] for k in keys}) == 1:
+        high += 1
+    return keys[0][len(keys[0]) - high :].lstrip()
+
 
+def poems(couplets: list[Couplet], pen_name: str | None = None, letters: str | None = None) -> list[int]:
+    """The number of each couplet's poem.
+
+    A couplet both of whose lines have the rhyme of the second lines from it on opens a poem, and one that breaks a
+    settled rhyme begins another; but a further opening couplet in the same rhyme goes on with its poem, unless the one
+    before it has the pen name, which closes a poem. Two couplets at most that have the pen name go back to a poem
+    without it. Empty lines, of half couplets, count for no rhyme.
+    """
+    first = [rhyme_key(a, letters) for a, _ in couplets]
+    second = [rhyme_key(b, letters) if b else None for _, b in couplets]
+    signed = [bool(pen_name) and any(pen_name in k for k in (a, b) if k) for a, b in zip(first, second)]
+
+    def seconds(where) -> list[str]:
+        return [second[k] for k in where if second[k] is not None]
 
-def poems(couplets: list[tuple[str, str]], pen_name: str | None = None) -> list[int]:
-    """The number of each couplet's poem. A couplet both of whose lines have the rhyme that follows opens one, unless it
-    goes on an opening; a poem whose rhyme the next couplet breaks ends; short ends with the pen name go back."""
-    keys = [(rhyme_key(a), rhyme_key(b)) for a, b in couplets]
-    signed = [bool(pen_name) and (pen_name in a or pen_name in b) for a, b in couplets]
     groups: list[list[int]] = []
-    opened: list[bool] = []
-    for i in range(len(keys)):
-        ahead = [b for _, b in keys[i : i + LOOK_AHEAD]]
+    opened = False
+    for i, (a, b) in enumerate(couplets):
+        ahead = seconds(range(i, min(i + LOOK_AHEAD, len(couplets))))
         forward = len(ahead) >= 2
-        rhyme = common_end(ahead if forward else list(keys[i]))
-        opens = len(rhyme) >= SHORTEST_RHYME and keys[i][0].endswith(rhyme)
-        opened.append(opens)
+        rhyme = common_end(ahead) if forward else common_end([first[i], second[i] or ""])
+        opens = bool(a and b) and len(rhyme) >= SHORTEST_RHYME and first[i].endswith(rhyme)
         group = groups[-1] if groups else []
-        shared = common_end([keys[k][1] for k in group])
-        spent = len(group) >= 3 and len(shared) >= SHORTEST_RHYME and len(common_end([keys[k][1] for k in group] + [keys[i][1]])) < SHORTEST_RHYME
-        goes_on = (
-            bool(group)
-            and opens
-            and not spent
-            and (not forward or any(keys[k][0].endswith(rhyme) for k in group))
-            and (rhyme.endswith(shared) or shared.endswith(rhyme))
-            and (len(group) > 1 or opened[i - 1])
-            and not signed[i - 1]
-        )
-        if not group or ((opens or spent) and not goes_on):
+        own = seconds(group)
+        shared = common_end(own)
+        broken = bool(b) and len(group) >= SETTLED and len(shared) >= SHORTEST_RHYME and len(common_end([*own, second[i]])) < SHORTEST_RHYME
+        anew = opens or broken
+        if anew and group and opens and not broken:
+            carried = bool(rhyme) and any(k.endswith(rhyme) for k in own)
+            alike = bool(shared) and bool(rhyme) and (shared.endswith(rhyme) or rhyme.endswith(shared))
+            anew = not ((carried or not forward) and alike and (len(group) > 1 or opened) and not signed[group[-1]])
+        if anew or not group:
             groups.append([i])
         else:
             group.append(i)
-    merged: list[list[int]] = []
+        opened = opens
+    out, number = [0] * len(couplets), -1
+    kept: list[int] = []
     for group in groups:
-        if merged and len(group) <= 2 and any(signed[k] for k in group) and not any(signed[k] for k in merged[-1]):
-            merged[-1] += group
-        else:
-            merged.append(group)
-    out = [0] * len(keys)
-    for n, group in enumerate(merged):
+        if not (kept and len(group) <= REST and any(signed[k] for k in group) and not any(signed[k] for k in kept)):
+            kept, number = [], number + 1
+        kept = kept + group
         for k in group:
-            out[k] = n
+            out[k] = number
     return out
 
 
-def split_poems(couplets: DataFrame, pen_name: str | None = None) -> DataFrame:
+def split_poems(couplets: DataFrame, pen_name: str | None = None, letters: str | None = None) -> DataFrame:
     """couplets (book_slug, idx, first, second) with poem, numbered within the book from 0. Null lines count as empty."""
 
     def run(book):
         book = book.sort_values("idx")
-        return book.assign(poem=poems([(a or "", b or "") for a, b in zip(book["first"], book["second"])], pen_name))
+        return book.assign(poem=poems([(a or "", b or "") for a, b in zip(book["first"], book["second"])], pen_name, letters))
 
     rows = couplets.select("book_slug", "idx", "first", "second")
     return rows.groupBy("book_slug").applyInPandas(run, "book_slug string, idx int, first string, second string, poem int")
