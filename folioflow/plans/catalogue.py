@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as X
-from folioflow.operators import checks, ordered, sequential
+from folioflow.operators import checks, classify, ordered, sequential
+from folioflow.operators.containment import contained
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,14 +63,14 @@ def single_line_docs(spark, sf_dir):
 
 @_query(f"""
     with d as (select doc_id, {_WORDS} as ws from documents)
-    select doc_id, cast(len(ws) as int) as n_words, len(list_filter(ws, lambda w: length(w) <= 2)) / len(ws) as short_share
-    from d where len(ws) >= 12 and len(list_filter(ws, lambda w: length(w) <= 2)) / len(ws) > 0.6
+    select doc_id, cast(len(ws) as int) as n_words, len(list_filter(ws, lambda w: length(w) <= 2)) / len(ws) as short_share,
+           len(list_filter(ws, lambda w: length(w) <= 2)) / len(ws) > 0.6 as flagged from d where len(ws) >= 12
 """)
 def fragment_share_flags(spark, sf_dir):
-    """Documents of twelve words and more of which over 60 % have at most two letters."""
+    """What share of each document of twelve words and more has at most two letters, and whether that is over 60 %."""
     words = _t(spark, sf_dir, "documents").select("doc_id", X.words(F.col("text")).alias("ws")).where(F.size("ws") >= 12)
     share = F.size(F.filter("ws", lambda w: F.length(w) <= 2)) / F.size("ws")
-    return words.select("doc_id", F.size("ws").alias("n_words"), share.alias("short_share")).where("short_share > 0.6")
+    return words.select("doc_id", F.size("ws").alias("n_words"), share.alias("short_share"), (share > 0.6).alias("flagged"))
 
 
 @_query(f"""
@@ -213,32 +214,56 @@ def orphan_merge(spark, sf_dir):
     return ordered.halves_merged(pairs, ["conv_id"]).select("conv_id", "pair", "half", "merged")
 
 
-_KIND = """case when regexp_matches(line, '^[*۰-]{2,}$') then 'separator' when regexp_matches(line, '^[0-9۰-۹۔. \t]+\\z') then 'toc' when length(line) >= 101 then 'prose'
-    when length(line) between 15 and 62 then 'verse' when length(line) between 63 and 100 then 'run_together' else 'unknown' end"""
-_KINDS = f"""k as (select doc_id, idx, {_KIND} as kind from (select doc_id, unnest(ls) as line, unnest(range(len(ls))) as idx from (select doc_id, {_LINES} as ls from documents)))"""
+#: What stands for a separator and for headings in these texts: lines that several of them have.
+_FENCE = "In in oredble ea."
+_HEADINGS = ("Of.", "And ornd.", "Ietzte.")
+_FITS = " and ".join(f"coalesce(lead(length(line) between 15 and 62, {k}) over w and lead(idx % 2 = 1, {k}) over w = {str(k % 2 == 1).lower()}, false)" for k in range(4))
+_MONTHS = "|".join(classify.MONTHS.split())
+_LETTERS_OF = "trim(regexp_replace(regexp_replace(line, '[^\\p{L} \t\r\n]', '', 'g'), '[ \t\r\n]+', ' ', 'g'))"
+_CLASSIFIED = f"""
+    l as (select doc_id, unnest(range(len(ls))) as idx, unnest(ls) as line from (select doc_id, {_LINES} as ls from documents)),
+    g as (select *, length(line) as n, {_FITS} as good from l window w as (partition by doc_id order by idx)),
+    f as (select *, min(case when good then idx end) over (partition by doc_id) as first_good, count(*) over (partition by doc_id) as total from g),
+    s as (select *, max(case when idx < first_good and line = '{_FENCE}' then idx + 1 end) over (partition by doc_id) as fenced,
+                 max(case when idx < first_good and n >= 101 then idx end) over (partition by doc_id) as essay from f),
+    b as (select *, case when first_good is null then total when fenced > essay or essay is null and fenced is not null then fenced else first_good end as start from s),
+    o as (select *, count(*) filter (idx >= start) over (partition by doc_id, line) as often from b),
+    k as (select *, case when line = '{_FENCE}' then 'separator' when regexp_full_match(line, '[۰-۹۔\\s]+') then 'toc' when idx >= start and n < 101 and often > 1 then 'running_header'
+                 when {_LETTERS_OF} in ('Of', 'And ornd', 'Ietzte') then 'heading'
+                 when n <= 50 and (regexp_matches(line, '[۰-۹]{{4}}\\s*[ئء]') or regexp_matches(line, '(?:{_MONTHS})[۰-۹\\s،,-]{{0,6}}[ئء]') and not regexp_full_match(line, '\\(.*\\)')) then 'colophon'
+                 when n >= 101 then 'prose' when idx >= start and n between 15 and 100 then 'verse' when idx < start then 'front_matter' else 'unknown' end as base from o),
+    e as (select *, case when regexp_full_match(line, '\\(\\s*نذرِ?\\s+.+\\)') then null when base = 'prose' and starts_with(line, '(') then 'unknown' when base in ('unknown', 'prose') then base end as grp from k),
+    n as (select *, case when idx > 0 and grp is not distinct from lag(grp) over w then 0 else 1 end as new, lag(base) over w as before, lead(base) over w as after from e window w as (partition by doc_id order by idx)),
+    r as (select *, sum(new) over (partition by doc_id order by idx) as run from n),
+    c as (select *, case when grp is not null and first_value(before) over v = 'verse' and last_value(after) over v = 'verse' and (grp = 'unknown' or count(*) over v = 1) then 'verse' else base end as kind
+          from r window v as (partition by doc_id, run order by idx rows between unbounded preceding and unbounded following))
+"""
 
 
-def _kinds(spark, sf_dir):
-    rows = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(X.lines(F.col("text"))).alias("idx", "line"))
-    return rows.select("doc_id", "idx", X.line_kind(F.col("line")).alias("kind"))
+def _classified(spark, sf_dir):
+    """The lines of each document as those of a book, of which every other one is marked as a second line."""
+    rows = _t(spark, sf_dir, "documents").select("doc_id", F.posexplode(X.lines(F.col("text"))).alias("idx", "text"))
+    return classify.classified(rows.withColumn("geometry", F.col("idx") % 2), ["doc_id"], "idx", _HEADINGS, _FENCE, header=1)
 
 
-@_query(f"with {_KINDS} select kind, count(*) as n from k group by kind")
+@_query(f"with {_CLASSIFIED} select kind, count(*) as n from c group by kind")
 def line_kinds(spark, sf_dir):
-    return _kinds(spark, sf_dir).groupBy("kind").agg(F.count("*").alias("n"))
+    return _classified(spark, sf_dir).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@_query(f"with {_CLASSIFIED} select doc_id, cast(idx as int) as idx, cast(start as int) as start, kind from c")
+def enclosure_bridge(spark, sf_dir):
+    return _classified(spark, sf_dir).select("doc_id", "idx", F.col("start").cast("int").alias("start"), "kind")
 
 
 @_query(f"""
-    with {_KINDS}, n as (select *, case when kind is not distinct from lag(kind) over (partition by doc_id order by idx) then 0 else 1 end as new from k),
-    r as (select *, sum(new) over (partition by doc_id order by idx) as run from n),
-    s as (select doc_id, run, kind as k, count(*) as size from r group by 1, 2, 3),
-    b as (select *, lag(k) over (partition by doc_id order by run) = 'verse' and lead(k) over (partition by doc_id order by run) = 'verse' as between_ from s)
-    select r.doc_id, cast(r.idx as int) as idx, r.kind,
-           case when between_ and (k = 'unknown' or k = 'prose' and size <= 1) then 'verse' else k end as bridged
-    from r join b on r.doc_id = b.doc_id and r.run = b.run
+    with {_CLASSIFIED}, h as (select *, kind = 'heading' and idx >= start as heads from c)
+    select doc_id, cast(idx as int) as idx, coalesce(last_value(case when kind = 'running_header' then line end ignore nulls) over w, '') as collection,
+           coalesce(last_value(case when heads then line end ignore nulls) over w, '') as section, count(*) filter (heads) over w as section_run
+    from h window w as (partition by doc_id order by idx rows between unbounded preceding and current row)
 """)
-def enclosure_bridge(spark, sf_dir):
-    return ordered.bridged(_kinds(spark, sf_dir), ["doc_id"], ["idx"])
+def section_carried(spark, sf_dir):
+    return classify.with_sections(_classified(spark, sf_dir), ["doc_id"], "idx", _HEADINGS).select("doc_id", "idx", "collection", "section", "section_run")
 
 
 @_query("""
@@ -291,15 +316,18 @@ def linear_nav(spark, sf_dir):
     return ordered.neighbours(_t(spark, sf_dir, "conversations").select("conv_id", "turn"), ["turn"], "turn", ["conv_id"])
 
 
-@_query(r"""
-    select page_id, regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '!\[[^\]]*\]\([^)]*\)', '', 'g'), '<[^>]*>', '', 'g'),
-           chr(160), ' '), 'ـ', ''), '[ \t\r\n]+', '', 'g') as plain from pages
-""")
+#: Entities that the pages have, read from left to right as all of them would be.
+_READ = "replace(replace(replace(replace({}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"
+_BARE = _READ.format("regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '!\\[[^\\]]*\\]\\([^)]*\\)', ' ', 'g'), '<[^>]+>', ' ', 'g')")
+_TIDY = "list_filter(list_transform(string_split({}, chr(10)), lambda s: regexp_replace(s, '^[\\s\u00a0]+|[\\s\u00a0]+$', '', 'g')), lambda s: s <> '')"
+
+
+@_query(f"select page_id, regexp_replace({_BARE}, '[ـ\\s\u00a0]+', '', 'g') as plain from pages")
 def html_normalized(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", X.without_tags(F.col("html")).alias("plain"))
 
 
-@_query()
+@_query("select page_id, array_to_string(" + _TIDY.format(_READ.format("regexp_replace(regexp_replace(html, '(?i)<br\\s*/?>', chr(10), 'g'), '<[^>]+>', '', 'g')")) + ", chr(10)) as plain from pages")
 def html_cleaned(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", X.cleaned(F.col("html")).alias("plain"))
 
@@ -310,10 +338,8 @@ def url_domains(spark, sf_dir):
 
 
 def _contained(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    items = _t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"))
-    # No equality to join on. Spark broadcasts the side that its limit lets it, and else takes the Cartesian product.
-    return docs.join(items, F.col("text").contains(F.col("needle"))).select("doc_id", "item_id")
+    docs, items = _t(spark, sf_dir, "documents").select("doc_id", "text"), _t(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"))
+    return contained(docs, items, "text", "needle", ["doc_id"], ["item_id"])
 
 
 @_query("select doc_id, item_id from documents d join benchmark b on contains(d.text, b.text)")
@@ -382,8 +408,6 @@ def segmentation_digest(spark, sf_dir):
 """)
 def positional_zip(spark, sf_dir):
     """Questions and answers by position, in conversations that have as many of each."""
-    from pyspark.sql import Window
-
     rows = _t(spark, sf_dir, "conversations")
     whole = Window.partitionBy("conv_id", "role")
     rows = rows.withColumns({"rn": F.row_number().over(whole.orderBy("turn")), "n": F.count("*").over(whole)})
@@ -396,44 +420,48 @@ def positional_zip(spark, sf_dir):
     with o as (select distinct left(trim(regexp_replace(regexp_replace(text, '[^\\p{{L}} \t\r\n]', '', 'g'), '[ \t\r\n]+', ' ', 'g')), 24) as opening from benchmark),
     l as (select doc_id, left(trim(regexp_replace(regexp_replace(line, '[^\\p{{L}} \t\r\n]', '', 'g'), '[ \t\r\n]+', ' ', 'g')), 24) as opening
           from (select doc_id, unnest({_LINES}) as line from documents))
-    select doc_id, count(*) as n_lines, sum(case when o.opening is null then 0 else 1 end) / count(*) as opening_share
-    from l left join o on l.opening = o.opening and length(o.opening) = 24 group by doc_id having sum(case when o.opening is null then 0 else 1 end) / count(*) > 0.5
+    select doc_id, count(*) as n_lines, sum(case when o.opening is null then 0 else 1 end) / count(*) as opening_share, sum(case when o.opening is null then 0 else 1 end) / count(*) > 0.5 as flagged
+    from l left join o on l.opening = o.opening and length(o.opening) = 24 group by doc_id
 """)
 def opening_share(spark, sf_dir):
-    """Documents over half of whose lines begin as a benchmark passage does."""
+    """What share of each document's lines begins as a benchmark passage does, and whether that is over half."""
     openings = _t(spark, sf_dir, "benchmark").select(F.substring(X.skeleton(F.col("text")), 1, 24).alias("opening")).where(F.length("opening") == 24).distinct()
     rows = _t(spark, sf_dir, "documents").select("doc_id", F.explode(X.lines(F.col("text"))).alias("line"))
     rows = rows.select("doc_id", F.substring(X.skeleton(F.col("line")), 1, 24).alias("opening")).join(openings.withColumn("hit", F.lit(1)), "opening", "left")
     found = rows.groupBy("doc_id").agg(F.count("*").alias("n_lines"), (F.count("hit") / F.count("*")).alias("opening_share"))
-    return found.where("opening_share > 0.5")
+    return found.withColumn("flagged", F.col("opening_share") > 0.5)
 
 
 @_query("""
-    select max(cast(n as bigint)) as largest from (select unnest(regexp_extract_all(text, '[0-9]+')) as n from documents) where length(n) <= 18
+    select arg_max(n, (length(n), n)) as largest from (select regexp_replace(unnest(regexp_extract_all(translate(text, '۰۱۲۳۴۵۶۷۸۹', '0123456789'), '[0-9]+')), '^0+(.)', '\\1') as n from documents)
 """)
 def largest_number(spark, sf_dir):
-    found = _t(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]+"), 0)).alias("n")).where(F.length("n") <= 18)
-    return found.agg(F.max(F.col("n").cast("bigint")).alias("largest"))
+    """Of any length, in digits of both kinds."""
+    found = _t(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(X.latin_digits(F.col("text")), F.lit("[0-9]+"), F.lit(0))).alias("n"))
+    return found.agg(X.largest_of(F.col("n")).alias("largest"))
 
 
 @_query("select n_name, n_regionkey, cast(row_number() over (partition by n_regionkey order by n_name) as int) as rank, r_name from nation join region on n_regionkey = r_regionkey")
 def ranked_listing(spark, sf_dir):
-    from pyspark.sql import Window
-
     rows = _t(spark, sf_dir, "nation").join(_t(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rank = F.row_number().over(Window.partitionBy("n_regionkey").orderBy("n_name"))
     return rows.select("n_name", "n_regionkey", rank.alias("rank"), "r_name")
 
 
-@_query()
+@_query("select p_partkey, p_name, row_number() over (order by p_name collate ur, p_partkey) as rank from part")
 def collated_listing(spark, sf_dir):
-    """Parts in the order of Urdu's alphabet."""
-    return _t(spark, sf_dir, "part").select("p_partkey", "p_name").orderBy(F.expr("p_name collate ur"), "p_partkey")
+    """Parts with their rank in the order of Urdu's alphabet. Names are counted first, so that one task ranks the different
+    names alone; a rank is that of the name and the place among its parts."""
+    parts = _t(spark, sf_dir, "part").select("p_partkey", "p_name")
+    sizes = parts.groupBy("p_name").agg(F.count("*").alias("n"))
+    before = sizes.select("p_name", (F.sum("n").over(Window.orderBy(F.expr("p_name collate ur"), "p_name")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("p_name").orderBy("p_partkey"))
+    return parts.join(before, "p_name").select("p_partkey", "p_name", (F.col("before") + place).alias("rank"))
 
 
 @_query()
 def poem_split(spark, sf_dir):
-    """The turns of each conversation, two by two, parted into poems by rhyme."""
+    """The turns of each conversation, two by two, parted into poems by rhyme; a name that many turns have closes a poem."""
     pairs = _paired(spark, sf_dir).groupBy("conv_id", "pair").agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("p"))
     rows = pairs.select(F.col("conv_id").cast("string").alias("book_slug"), F.col("pair").cast("int").alias("idx"), F.col("p")[0]["text"].alias("first"), F.get("p", F.lit(1))["text"].alias("second"))
-    return sequential.split_poems(rows)
+    return sequential.split_poems(rows, "than")
