@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from folioflow.llm.shared import fresh, readable, split_words, without
 
 #: Labelled documents that the model is fitted on at most: those whose ids have the smallest hashes.
-MAX_ROWS = 6000
+MAX_ROWS = 15_000
 #: Grades are 0 to GRADES - 1.
 GRADES = 3
 #: A document is selected if its probability of at least this grade ...
@@ -149,9 +149,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> tuple[n
     some = known.select(F.col("doc_id").alias("id"), grade.alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
     joined = docs.select(F.col("doc_id").alias("id"), readable(F.col("text")).alias("text")).join(F.broadcast(some), "id").select("id", "text", "grade")
     found = joined.select("text", "grade").mapInArrow(_featured, "grade int, slots array<int>").toArrow()
+    grades, lists = found["grade"].to_numpy(), found["slots"].combine_chunks()
+    values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    rows = [values[lo:hi] for lo, hi in zip(ends, ends[1:])]
     # In an order of its own: sums of floats must not depend on how tasks end.
-    rows = sorted((g, tuple(s)) for g, s in zip(found["grade"].to_pylist(), found["slots"].to_pylist()))
-    return fit_rows([np.array(s, np.int64) for _, s in rows], np.array([g for g, _ in rows], np.int64))
+    order = sorted(range(len(rows)), key=lambda i: (grades[i], rows[i].tobytes()))
+    return fit_rows([rows[i] for i in order], grades[order].astype(np.int64))
 
 
 def predict(texts: list[str | None], weights: np.ndarray, theta: np.ndarray, min_grade: int) -> tuple[np.ndarray, np.ndarray]:
