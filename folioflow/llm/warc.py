@@ -17,10 +17,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.llm.shared import readable
+
 #: Bytes of a block in a written segment, and of a chunk of its body.
 SEGMENT_BYTES = 2048
 CHUNK_BYTES = 1000
 
+_GZIP = b"\x1f\x8b\x08"
+#: Bytes that are given to the decompressor at a time.
+_STEP = 16 << 10
+
 _RECORDS = pa.schema(
     [
         ("record_id", pa.string()),
@@ -51,18 +57,28 @@ _RESPONSES = pa.schema(
 )
 
 
-def members(data: bytes) -> Iterator[bytes]:
-    """data unpacked: each of its gzip members, or itself where it isn't compressed. A broken member ends it."""
-    if data[:2] != b"\x1f\x8b":
-        yield data
+def members(data: bytes) -> Iterator[tuple[bytes, bool]]:
+    """data unpacked: each of its gzip members, or itself where it isn't compressed, and whether it is whole.
+
+    Of a broken member comes what could be unpacked; the next one is looked for behind the place that broke.
+    """
+    if data[:2] != _GZIP[:2]:
+        yield data, True
         return
-    while data[:2] == b"\x1f\x8b":
-        one = zlib.decompressobj(31)
+    view, at = memoryview(data), 0
+    while 0 <= at < len(data):
+        one, out, whole = zlib.decompressobj(31), [], True
         try:
-            yield one.decompress(data)
+            while not one.eof and at < len(data):
+                part = view[at : at + _STEP]
+                out.append(one.decompress(part))
+                at += len(part) - len(one.unused_data)
         except zlib.error:
-            return
-        data = one.unused_data
+            at += 1
+        if not one.eof:
+            whole = False
+        yield b"".join(out), whole
+        at = data.find(_GZIP, at)
 
 
 def _number(s: str | None) -> int | None:
@@ -70,9 +86,10 @@ def _number(s: str | None) -> int | None:
 
 
 def parse(data: bytes) -> Iterator[dict]:
-    """The records of a file. Bytes that are no record are skipped up to the next one."""
-    for part in members(data):
-        at = 0
+    """The records of a file. Bytes that are no record are skipped up to the next one. A gzip member that breaks between
+    records, or in a header, gives a record of type broken member; one that breaks in a block has it marked truncated."""
+    for part, whole in members(data):
+        at, told = 0, whole
         while (at := part.find(b"WARC/", at)) >= 0:
             end = part.find(b"\r\n\r\n", at)
             if end < 0:
@@ -100,7 +117,10 @@ def parse(data: bytes) -> Iterator[dict]:
                 "block": block,
                 "truncated": len(block) < n,
             }
+            told |= len(block) < n
             at = end + 4 + n
+        if not told:
+            yield dict.fromkeys(_RECORDS.names) | {"type": "broken member", "block": b"", "truncated": True}
 
 
 def dechunked(body: bytes) -> bytes | None:
@@ -268,8 +288,14 @@ def response(ident: str, uri: str | None, body: bytes, page: object = None, segm
     return out
 
 
+def _zipped(record: bytes) -> bytes:
+    one = zlib.compressobj(1, wbits=31)
+    return one.compress(record) + one.flush()
+
+
 def _written(segment: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two files for each batch: what comes first of each response, and in the reverse order what continues them."""
+    """Two files for each batch: what comes first of each response, plain; and in the reverse order what continues them,
+    each record a gzip member."""
     part, at = TaskContext.get().partitionId(), 0
     for batch in batches:
         first, more = [], []
@@ -278,12 +304,12 @@ def _written(segment: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             at += 1
             first.append(made[0])
             more += made[1:]
-        files = [b"".join(first), b"".join(reversed(more))]
+        files = [b"".join(first), b"".join(map(_zipped, reversed(more)))]
         yield pa.RecordBatch.from_arrays([pa.array(files, pa.binary())], names=["content"])
 
 
 def files(pages: DataFrame, segment: int = SEGMENT_BYTES) -> DataFrame:
     """(content): WARC files of pages (page_id, url, html), with chunked bodies in segments. A null html is an empty body;
-    null ids and urls have no field; each repeated row is a record of its own."""
-    rows = pages.select(F.col("page_id").cast("string"), "url", "html")
+    null ids and urls have no field; bytes that are no UTF-8 become replacement characters; each repeated row is a record of its own."""
+    rows = pages.select(F.col("page_id").cast("string"), readable(F.col("url")).alias("url"), readable(F.col("html")).alias("html"))
     return rows.mapInArrow(lambda x: _written(segment, x), "content binary")
