@@ -9,28 +9,32 @@ from folioflow.llm.shared import written
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier, fitted on the labels, selects."""
+    """The documents that the classifier, fitted on the labels, selects.
+
+    A null or empty text is scored as an empty one. Repeated rows share their fate. Labels that are null, repeated or of no
+    document do no harm; without any label the scores are those of the thresholds alone. No documents give none.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_model.select(docs, labels).select(*docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each content."""
+    """One document of each content, that of the smallest id. Null texts all stay, empty ones are equal to each other."""
     return exact_dedup.exact_dedup(docs).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group, that of the smallest id. Documents without words or with a null id stay."""
     return simhash.near_dedup(docs).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in them replaced."""
+    """All documents, with the secrets in them replaced. n_chars follows the text; null and empty texts stay as they are."""
     return secrets.redact(docs).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sequences that hold the documents."""
+    """The sequences that hold the documents, every character of each once. Null and empty texts are in none."""
     return packing.pack(docs)
 
 
