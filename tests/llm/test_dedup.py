@@ -1,10 +1,12 @@
 import random
+import re
 
 import pyarrow as pa
 import pytest
 
 from folioflow.llm import exact_dedup, simhash
 from folioflow.llm.exact_dedup import OpenTable
+from folioflow.llm.shared import components, split_words
 
 SCHEMA = "doc_id bigint, text string, N_COPIES int, bucket string, h int"
 
@@ -33,16 +35,23 @@ def test_exact_dedup_is_brute_force(spark, bucket, hot):
     assert sorted(((r.doc_id, r.text, r.n_copies) for r in got.collect()), key=str) == brute(rows)
 
 
+def test_exact_dedup_splits_all_buckets_of_a_level(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_SPLIT", 2)
+    rows = [(i, f"t{i % 150:03d}" * 5) for i in range(450)]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), bucket_bytes=200)
+    assert sorted(((r.doc_id, r.text, r.n_copies) for r in got.collect()), key=str) == brute(rows)
+
+
 def test_exact_dedup_of_nothing(spark):
     assert exact_dedup.exact_dedup(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 
 
 def test_open_table_compares_contents():
     table = OpenTable()
-    assert [table.add(x) for x in ("a", "b", "a")] == [(0, True), (1, True), (0, False)]
+    assert [table.add(x) for x in (b"a", b"b", b"a")] == [(0, True), (1, True), (0, False)]
     for i in range(500):
-        table.add(str(i))
-    assert table.add("b") == (1, False)
+        table.add(b"%d" % i)
+    assert table.add(b"b") == (1, False)
 
 
 def distance(a, b):
@@ -50,7 +59,7 @@ def distance(a, b):
 
 
 def test_masks_cover_every_pair_within_the_radius():
-    family = [int(m) for m in simhash.masks(4)]
+    family = [int(m) for m in simhash.masks(4)[:, 0]]
     rng = random.Random(1)
     for _ in range(2000):
         x = rng.getrandbits(64)
@@ -60,6 +69,20 @@ def test_masks_cover_every_pair_within_the_radius():
         assert any(x & m == y & m for m in family)
 
 
+def parents(n, pairs):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return [find(x) for x in range(n)]
+
+
 def test_near_groups_are_brute_force_components(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(3000)]
@@ -74,29 +97,52 @@ def test_near_groups_are_brute_force_components(spark):
             rows.append((3 * i + k, " ".join(copy)))
     rows += [(1000, None), (1001, ""), (1002, "..."), (None, rows[0][1]), (0, rows[0][1])]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r.id: r.root for r in simhash.near_groups(docs, radius=6, accept=18).collect()}
-    prints = {i: simhash.fingerprint(t, simhash._Bits()) for i, t in rows if t and i is not None}
+    prints = {i: simhash.fingerprint(t) for i, t in rows if t and i is not None}
     prints = {i: p for i, p in prints.items() if p}
-    root = {i: i for i in prints}
     ids = sorted(prints)
-    sure = 2 * 6 + 1
-    for n, i in enumerate(ids):
-        for j in ids[:n]:
-            if distance(prints[i], prints[j]) <= sure:
-                assert got[i] == got[j]
-    assert set(got) == set(root)
-    assert sum(got[3 * i] == got[3 * i + k] for i in range(60) for k in (1, 2)) >= 108
-    assert all(got[i] // 3 == i // 3 for i in ids)
+    close = [(n, m) for n, i in enumerate(ids) for m, j in enumerate(ids[:n]) if distance(prints[i], prints[j]) <= simhash.ACCEPT]
+    expected = {i: ids[r] for i, r in zip(ids, parents(len(ids), close))}
+    assert len(set(expected.values())) < 80
+    for _, radii in simhash.RADII:
+        assert {r.id: r.root for r in simhash.near_groups(docs, radius=radii).collect()} == expected
+    named = docs.selectExpr("lpad(cast(doc_id as string), 6, '0') as doc_id", "text")
+    assert {int(r.id): int(r.root) for r in simhash.near_groups(named).collect()} == expected
+
+
+def test_components_are_brute_force(spark):
+    rng = random.Random(8)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(300, 360)] + [(5, 5)]
+    rows = [*pairs, pairs[0], (None, 3), (4, None)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(rows, "a bigint, b bigint")).collect()}
+    root = parents(361, pairs)
+    assert got == {x: root[x] for x in {x for a, b in pairs if a != b for x in (a, b)}}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
 def test_every_pair_up_to_the_accepted_distance_meets():
     rng = random.Random(6)
-    families, first = simhash._families(simhash.RADIUS)
-    for _ in range(400):
-        x = rng.getrandbits(64), rng.getrandbits(64)
-        bits = rng.sample(range(128), simhash.ACCEPT)
-        y = [x[h] ^ sum(1 << b % 64 for b in bits if b // 64 == h) for h in (0, 1)]
-        assert any(x[k >= first] & m == y[k >= first] & m for k, m in enumerate(families.tolist()))
+    for _, radii in simhash.RADII:
+        family = [tuple(m) for m in simhash._families(radii).tolist()]
+        for _ in range(300):
+            x = rng.getrandbits(64), rng.getrandbits(64)
+            bits = rng.sample(range(128), simhash.ACCEPT)
+            y = [x[h] ^ sum(1 << b % 64 for b in bits if b // 64 == h) for h in (0, 1)]
+            assert any(x[0] & m == y[0] & m and x[1] & n == y[1] & n for m, n in family)
+
+
+def test_a_long_text_is_summed_in_parts(monkeypatch):
+    text = " ".join(f"w{i % 700}" for i in range(3000))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "_CHUNK", 64)
+    assert simhash.fingerprint(text) == whole
+
+
+def test_split_words_are_those_of_the_expression():
+    rng = random.Random(9)
+    signs = "aB9_ .,-\n\t\x1c\u00a0\u2003éßŉ中“—़١²·" + "".join(map(chr, range(0x2190, 0x2200)))
+    for _ in range(3000):
+        text = "".join(rng.choices(signs, k=rng.randint(0, 200)))
+        assert split_words(text) == re.findall(r"\w+", text)
 
 
 def test_groups_at_the_accepted_distance(spark, monkeypatch):

@@ -1,7 +1,9 @@
+import math
 import random
 from collections import Counter
 
 import pytest
+import xxhash
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 from folioflow.llm import packing, quality_model, secrets, simhash  # noqa: E402
@@ -24,16 +26,28 @@ def folder(spark, tmp_path_factory):
 def test_stages_are_brute_force(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    model = quality_model.fit(docs, labels)
-    rows = [r for r in docs.collect() if quality_model.predict(r.text, *model, quality_model._Slots(), quality_model.MIN_GRADE)[1] >= quality_model.MIN_TAIL]
+    weights, theta = quality_model.fit(docs, labels)
+
+    def tail(text):
+        places = {xxhash.xxh3_64_intdigest(f) % quality_model.BUCKETS for f in quality_model.features(text or "")}
+        return 1 / (1 + math.exp(theta[quality_model.MIN_GRADE - 1] - sum(weights[x] for x in places)))
+
+    rows = [r for r in docs.collect() if tail(r.text) >= quality_model.MIN_TAIL]
     assert 0 < len(rows) < docs.count()
     first = {}
     for r in sorted(rows, key=lambda r: r.doc_id):
         first.setdefault(("null", r.doc_id) if r.text is None else r.text, r)
     rows = list(first.values())
-    small = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id bigint, text string")
-    roots = {r.id: r.root for r in simhash.near_groups(small).collect()}
-    rows = [r for r in rows if roots.get(r.doc_id, r.doc_id) == r.doc_id]
+    prints = {r.doc_id: p for r in rows if (p := simhash.fingerprint(r.text or ""))}
+    root = {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for i, x in prints.items():
+            for j, y in prints.items():
+                if root[j] < root[i] and sum(bin((a ^ b) & (2**64 - 1)).count("1") for a, b in zip(x, y)) <= simhash.ACCEPT:
+                    root[i], changed = root[j], True
+    rows = [r for r in rows if root.get(r.doc_id, r.doc_id) == r.doc_id]
     expected = Counter()
     for r in rows:
         text = secrets.redacted(r.text, secrets.scan(r.text))
