@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,16 +55,31 @@ def unescaped(texts):
     return texts.map(lambda t: None if t is None else html.unescape(t))
 
 
+_ENDED = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+)|[A-Za-z][A-Za-z0-9]*);")
+
+
+def _read(found: re.Match) -> str:
+    mark = found[0]
+    return html.unescape(mark) if mark[1] == "#" else html5.get(mark[1:], mark)
+
+
+@F.pandas_udf(T.StringType())
+def unescaped_ended(texts):
+    """Entities that a semicolon ends alone: one that was cut off stays as it is, and makes none with what comes next."""
+    return texts.map(lambda t: t if t is None or "&" not in t else _ENDED.sub(_read, t))
+
+
 def folded(text: Column) -> Column:
     """What a search compares: composed, without marks, with variant letters as one, single spaces."""
     plain = F.translate(F.regexp_replace(nfc(text), MARKS, ""), *FOLDED)
     return F.trim(F.regexp_replace(plain, r"[ \t\r\n]+", " "))
 
 
-def without_tags(page: Column) -> Column:
-    """Comments, images, tags, lengthened letters and all white space dropped, and entities read."""
+def without_tags(page: Column, ended: bool = False) -> Column:
+    """Comments, images, tags, lengthened letters and all white space dropped, and entities read. ended: those alone that
+    a semicolon ends."""
     plain = F.regexp_replace(F.regexp_replace(page, r"(?s)<!--.*?-->", ""), r"!\[[^\]]*\]\([^)]*\)", " ")
-    plain = unescaped(F.regexp_replace(plain, r"<[^>]+>", " "))
+    plain = (unescaped_ended if ended else unescaped)(F.regexp_replace(plain, r"<[^>]+>", " "))
     return F.regexp_replace(plain, rf"[ـ{SPACE}]+", "")
 
 
@@ -71,10 +88,11 @@ def stripped_lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), stripped), lambda s: s != "")
 
 
-def cleaned(page: Column) -> Column:
-    """Line breaks kept as lines, tags and lengthened letters dropped, entities read, blank lines dropped."""
+def cleaned(page: Column, ended: bool = False) -> Column:
+    """Line breaks kept as lines, tags and lengthened letters dropped, entities read, blank lines dropped. ended: as above."""
     broken = F.regexp_replace(page, r"(?i)<br\s*/?>", "\n")
-    return F.array_join(stripped_lines(F.replace(unescaped(F.regexp_replace(broken, r"<[^>]+>", "")), F.lit("ـ"), F.lit(""))), "\n")
+    read = (unescaped_ended if ended else unescaped)(F.regexp_replace(broken, r"<[^>]+>", ""))
+    return F.array_join(stripped_lines(F.replace(read, F.lit("ـ"), F.lit(""))), "\n")
 
 
 def largest_of(digits: Column) -> Column:

@@ -65,6 +65,13 @@ def test_gates_abort(spark):
     assert [r.message for r in migrate.gates(lost).collect()] == ["source has 1 image(s), emitted 0"]
 
 
+def test_entities_that_were_cut_off(spark):
+    pages = ["<t>a &amp;&am</t>p{b} &amp;middot;", "<t>a &amp</t><p>p; &#65;&#x42;&copy;&copy &no;", None]
+    df = spark.createDataFrame([(n, p) for n, p in enumerate(pages)], "n int, html string")
+    got = df.select("n", X.without_tags(F.col("html"), ended=True), X.cleaned(F.col("html"), ended=True)).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == {0: ("a&&amp{b}&middot;", "a &&amp{b} &middot;"), 1: ("a&ampp;AB©&copy&no;", "a &ampp; AB©&copy &no;"), 2: (None, None)}
+
+
 def test_duplicates_and_redirects(spark):
     rows = [(n, n, "Same" if n in (2, 5, 9) else f"Other {n}", "<p>a<br>b</p>", ["Poem"], "") for n in (5, 2, 9, 3)]
     kept = migrate.merged(built(spark, rows), ["kind", "slug"], "seq", "post_id")
