@@ -118,10 +118,15 @@ def video(html: Column) -> Column:
     return F.when(tube != "", first).when(number != "", second)
 
 
-def part_number(title: Column) -> Column:
-    """The first run of digits, of any script; null where there is none, which a check has to report."""
+def part_digits(title: Column) -> Column:
+    """The first run of digits, of any script and length, without zeros before it; null where there is none."""
     found = F.regexp_extract(title, r"(?U)(\d+)", 1)
-    return F.when(found != "", X.latin_digits(found).cast("int"))
+    return F.when(found != "", F.regexp_replace(X.latin_digits(found), "^0+(?=.)", ""))
+
+
+def part_number(title: Column) -> Column:
+    """The same as a number; null where there is none or it has more than 38 digits, which a check has to report."""
+    return part_digits(title).try_cast("decimal(38,0)")
 
 
 def reviewed(rows: DataFrame, overrides: DataFrame, title: str = "title") -> DataFrame:
@@ -165,7 +170,7 @@ def pieces(
     is_verse, is_prose = F.col("kind") == "ghazals", F.col("kind").isin("reviews", "memoir")
     rows = reviewed(rows, overrides)
     none = F.lit(None).cast("string")
-    part = F.when(F.col("kind") == "memoir", part_number(F.col("title")))
+    part, digits = (F.when(F.col("kind") == "memoir", f(F.col("title"))) for f in (part_number, part_digits))
     other = F.concat(F.when(F.col("kind") == "videos", "video").otherwise(F.col("kind")), F.lit("-"), F.col("post_id").cast("string"))
     rows = rows.withColumns(
         {
@@ -174,7 +179,7 @@ def pieces(
             "written_note": F.when(is_verse & (F.size("__verse.notes") > 0), F.array_join("__verse.notes", " ")),
             "published_in": F.when(F.col("kind") != "videos", published_in(F.col("source_html"), domains)),
             "part": part,
-            "slug": F.when(F.col("kind") == "memoir", F.concat(F.lit("dars-gah-"), part.cast("string"))).otherwise(F.when(F.col("__slug") == "", other).otherwise(F.col("__slug"))),
+            "slug": F.when(F.col("kind") == "memoir", F.concat(F.lit("dars-gah-"), digits)).otherwise(F.when(F.col("__slug") == "", other).otherwise(F.col("__slug"))),
             **{c: F.when(F.col("kind") == "reviews", F.col(c)).otherwise(none) for c in ("reviewed_book", "reviewed_author")},
             **{c: F.col(f"video.{c}") for c in ("source", "video_id", "url", "description", "recorded")},
         }
@@ -237,7 +242,8 @@ def media(rows: DataFrame, key: Column | None = None) -> DataFrame:
 
 def missing_numbers(rows: DataFrame) -> DataFrame:
     """A gate row for each memoir without a part number, and each video post without a video."""
-    parts = _gate(rows.where("kind = 'memoir' and part is null"), "part", F.col("post_id").cast("string"), F.lit("no part number"))
+    what = F.when(F.col("slug").isNull(), "no part number").otherwise("part number of more than 38 digits")
+    parts = _gate(rows.where("kind = 'memoir' and part is null"), "part", F.col("post_id").cast("string"), what)
     return parts.unionByName(_gate(rows.where("kind = 'videos' and video_id is null"), "video", F.col("post_id").cast("string"), F.lit("no video")))
 
 

@@ -85,7 +85,7 @@ def title_fields(spark, sf_dir):
     rows = _t(spark, sf_dir, "pages").select("page_id", title.alias("title"))
     known = _t(spark, sf_dir, "documents").select(F.concat("lang", F.lit("/1")).alias("title")).distinct()
     overrides = known.select("title", F.lit("known").alias("reviewed_book"), F.lit(None).cast("string").alias("reviewed_author"))
-    return migrate.reviewed(rows, overrides).withColumn("part", migrate.part_number(F.col("title")))
+    return migrate.reviewed(rows, overrides).withColumn("part", migrate.part_number(F.col("title")).cast("int"))
 
 
 @_query()

@@ -65,6 +65,13 @@ def test_gates_abort(spark):
     assert [r.message for r in migrate.gates(lost).collect()] == ["source has 1 image(s), emitted 0"]
 
 
+def test_part_numbers_of_any_length(spark):
+    rows = [(1, 1, "Part 004512160218721939", "<p>x</p>", ["Memoir"], ""), (2, 2, "Part " + "9" * 40, "<p>x</p>", ["Memoir"], "")]
+    found = built(spark, rows)
+    assert {r.post_id: (r.slug, r.part) for r in found.collect()} == {1: ("dars-gah-4512160218721939", 4512160218721939), 2: ("dars-gah-" + "9" * 40, None)}
+    assert [(r.key, r.message) for r in migrate.gates(found).collect()] == [("2", "part number of more than 38 digits")]
+
+
 def test_entities_that_were_cut_off(spark):
     pages = ["<t>a &amp;&am</t>p{b} &amp;middot;", "<t>a &amp</t><p>p; &#65;&#x42;&copy;&copy &no;", None]
     df = spark.createDataFrame([(n, p) for n, p in enumerate(pages)], "n int, html string")
