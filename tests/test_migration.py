@@ -136,6 +136,14 @@ def test_contained_is_a_nested_loop(spark):
     got = contained(df, nf, "text", "text", ["id"], ["n"]).collect()
     assert sorted(((r.id, r.n) for r in got), key=str) == expected and len(expected) > 300
 
+def test_contained_moves_no_words(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "x a b c d ez"), (None, "b c"), (3, None)], "id int, text string")
+    needles = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, "b c"), (4, ""), (5, "b c d e f g"), (None, "c d e"), (6, None)], "n int, text string")
+    found = contained(docs, needles, "text", "text", ["id"], ["n"])
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    got, joined = (sorted(((r.id, r.n) for r in f.collect()), key=str) for f in (found, contained(docs, needles, "text", "text", ["id"], ["n"], most=0)))
+    assert got == joined == sorted([(1, 1), (1, 2), (1, 3), (1, 4), (1, None)] * 2 + [(2, 1), (2, 2), (2, 3), (2, 4), (2, None), (None, 3), (None, 4)], key=str)
+
 
 def test_numbers_slugs_and_strings(spark):
     df = spark.createDataFrame([("007",), ("99999999999999999999",), ("12",), ("0",)], "n string")
