@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.functions import text as X
-from folioflow.functions.codepage import BACK, CODES
-from folioflow.operators import checks
+from folioflow.functions.codepage import CODES
+from folioflow.operators import checks, sequential
 from folioflow.operators.classify import contents_count, is_verse
 from folioflow.operators.containment import contained
 
@@ -15,6 +16,7 @@ VERSE = ("ghazals", "nazms")
 GARBAGE, SINGLE, INDEX, TITLE_PAGE = "likely-decode-garbage", "single-line-piece", "first-line-index", "collection-title-page"
 UNPUBLISHABLE = (GARBAGE, SINGLE, INDEX, TITLE_PAGE)
 OPENING = 24
+_KNOWN = sorted(CODES)
 LONGER = 5
 
 
@@ -183,7 +185,7 @@ def holders(pieces: DataFrame, known: DataFrame) -> DataFrame:
 
 def unmapped(paragraphs: DataFrame) -> DataFrame:
     """(book_slug, codes): codes that the code page doesn't have, ascending, as hexadecimal text. No row for a book of none."""
-    odd = paragraphs.select("book_slug", F.explode("codes").alias("c")).where(~F.col("c").isin(*CODES))
+    odd = paragraphs.select("book_slug", F.explode(F.array_except("codes", F.array(*map(F.lit, CODES)))).alias("c")).where("c is not null")
     return odd.groupBy("book_slug").agg(F.array_join(F.transform(F.sort_array(F.collect_set("c")), lambda c: F.format_string("0x%02x", c)), ", ").alias("codes"))
 
 
@@ -193,10 +195,22 @@ def completeness(paragraphs: DataFrame) -> DataFrame:
 
 def roundtrip(paragraphs: DataFrame) -> DataFrame:
     """Paragraphs whose text, encoded again, isn't the codes that the code page has of them."""
-    back = F.create_map(*[F.lit(x) for pair in BACK.items() for x in pair])
-    expected = F.filter("codes", lambda c: c.isin(*CODES))
-    actual = F.filter(F.transform(F.filter(F.split("raw", ""), lambda c: c != ""), lambda c: back[c]), lambda c: c.isNotNull())
-    found = paragraphs.where(F.size("codes") > 0).where(expected != actual)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            odd = []
+            for n, (raw, codes) in enumerate(zip(b.column("raw"), b.column("codes"))):
+                if raw.is_valid and codes.is_valid and len(codes):
+                    own = codes.values.fill_null(-1).to_numpy(zero_copy_only=False)
+                    if sequential.encoded(raw.as_py()) != own[np.isin(own, _KNOWN)].astype(np.uint8).tobytes():
+                        odd.append(n)
+            yield b.select(["book_slug", "idx"]).take(pa.array(odd, pa.int64()))
+
+    own = paragraphs.select("book_slug", "idx", "raw", "codes")
+    found = own.mapInArrow(run, T.StructType(own.schema.fields[:2]))
     return _rows(found, "round trip", F.col("book_slug"), F.format_string("paragraph %d", F.col("idx") + 1))
 
 

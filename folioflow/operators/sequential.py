@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from folioflow.functions.codepage import BACK, CODES
 
@@ -62,48 +64,115 @@ def digits_turned(chars: list[str], codes: list[int]) -> tuple[list[str], list[i
     return [chars[k] for k in order], [codes[k] for k in order]
 
 
-def decoded(data: bytes) -> list[tuple[str, int, str, list[int]]]:
+_PARTS = re.compile(rb"(?s)((?:\x04.)+)|\x0d(.{1,4})|(?:[^\x04\x0d].)+")
+_TABLE = "".join(CODES.get(c, "\ufffe") for c in range(256))
+_ENCODING = codecs.charmap_build(_TABLE)
+_CONTROL = bytes(range(0x20))
+_KNOWN = bytes(sorted(CODES))
+_TURNED = re.compile(b"[" + bytes(c for c, x in CODES.items() if x in _DIGITS) + b"]{2,}")
+#: Codes that a batch of decoded paragraphs holds before it goes on.
+BATCH_CODES = 1 << 20
+
+
+def runs_of(data: bytes) -> Iterator[tuple[list[bytes], int]]:
+    """(runs of neighbouring codes, geometry) of each paragraph: the same as walk and by_run, by an expression."""
+    runs: list[bytes] = []
+    for m in _PARTS.finditer(data):
+        if m[1]:
+            runs.append(m[1][1::2])
+        elif m[2]:
+            yield runs, int.from_bytes(m[2], "little") if len(m[2]) == 4 else 0
+            runs = []
+    yield runs, 0
+
+
+def decoded(data: bytes) -> list[tuple[str, int, str, bytes]]:
     """(text, geometry, raw, codes) of the paragraphs of an older book file that have text."""
     out = []
-    for pairs, geometry in walk(data):
-        codes = [c for c in by_run(pairs)[0] if c >= 0x20]
-        chars = [CODES.get(c, "") for c in codes]
-        if any(c in CODES for c in codes):
-            chars, codes = digits_turned(chars, codes)
-            raw = "".join(chars)
-            if text := unicodedata.normalize("NFC", raw).strip():
-                out.append((text, geometry, raw, codes))
+    for runs, geometry in runs_of(data):
+        codes = b"".join(r for r in runs if len(r) >= 2).translate(None, _CONTROL)
+        codes = _TURNED.sub(lambda m: m[0][::-1], codes)
+        raw = codecs.charmap_decode(codes, "ignore", _TABLE)[0]
+        if text := unicodedata.normalize("NFC", raw).strip():
+            out.append((text, geometry, raw, codes))
     return out
 
 
-def synthesised(text: str) -> list[tuple[str, int, str, list[int]]]:
+def synthesised(text: str) -> list[tuple[str, int, str, bytes]]:
     """The same of a newer book's text, whose lines are parted by carriage returns: a blank line or an ornament begins
     a stanza, and its lines are first and second ones in turn."""
     out, first = [], True
     for line in map(str.strip, text.split("\r")):
         if line == "O":
-            out.append(("۰۰۰", 0, "۰۰۰", []))
+            out.append(("۰۰۰", 0, "۰۰۰", b""))
         elif line:
-            out.append((line, 63 if first else 1, line, []))
+            out.append((line, 63 if first else 1, line, b""))
         first = not (line and line != "O" and first)
     return out
 
 
-def _expanded(files: DataFrame, rows_of: Callable[[object], list], kind: str) -> DataFrame:
+def by_part(rows: DataFrame, part: list[str], order: str, make: Callable, schema) -> DataFrame:
+    """What make gives for rows in their order: a record batch for a table of whole parts and the (first, end) of each.
+    A part's rows come to one task, which takes many parts at a time and holds its largest one."""
+
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
+        held, last = [], None
         for b in batches:
-            rows = [(s, i, *row) for s, data in zip(b.iloc[:, 0], b.iloc[:, 1]) for i, row in enumerate(rows_of(data))]
-            yield pd.DataFrame(rows, columns=["book_slug", "idx", "text", "geometry", "raw", "codes"])
+            keys = list(zip(*[b.column(c).to_pylist() for c in part]))
+            starts = [n for n, k in enumerate(keys) if k != (keys[n - 1] if n else last)]
+            if keys:
+                last = keys[-1]
+            if starts:
+                held.append(b.slice(0, starts[-1]))
+                yield from made(pa.Table.from_batches(held))
+                held = []
+                b = b.slice(starts[-1])
+            held.append(b)
+        if held:
+            yield from made(pa.Table.from_batches(held))
+
+    def made(table):
+        if table.num_rows:
+            keys = list(zip(*[table.column(c).to_pylist() for c in part]))
+            starts = [n for n, k in enumerate(keys) if not n or k != keys[n - 1]]
+            yield from make(table, list(zip(starts, [*starts[1:], len(keys)]))).to_batches()
+
+    return rows.repartition(*part).sortWithinPartitions(*part, order).mapInArrow(run, schema)
 
-    return files.select("book_slug", kind).mapInPandas(run, "book_slug string, idx int, text string, geometry bigint, raw string, codes array<int>")
+
+def _expanded(files: DataFrame, rows_of: Callable[[object], list], kind: str) -> DataFrame:
+    def batch(rows):
+        import numpy as np
+        import pyarrow as pa
+
+        slugs, idx, texts, geometry, raw, codes = zip(*rows)
+        places = np.cumsum([0, *map(len, codes)])
+        lists = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(np.frombuffer(b"".join(codes), np.uint8).astype(np.int32)))
+        columns = [pa.array(slugs, pa.string()), pa.array(idx, pa.int32()), pa.array(texts, pa.string()), pa.array(geometry, pa.int64()), pa.array(raw, pa.string()), lists]
+        return pa.RecordBatch.from_arrays(columns, names=["book_slug", "idx", "text", "geometry", "raw", "codes"])
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            for slug, data in zip(b.column(0), b.column(1)):
+                for i, row in enumerate(rows_of(data.as_py())):
+                    held.append((slug.as_py(), i, *row))
+                    size += len(row[2]) + len(row[3]) + 64
+                    if size >= BATCH_CODES:
+                        yield batch(held)
+                        held, size = [], 0
+        if held:
+            yield batch(held)
+
+    return files.select(F.col("book_slug").cast("string").alias("book_slug"), kind).mapInArrow(run, "book_slug string, idx int, text string, geometry bigint, raw string, codes array<int>")
 
 
 def decode(files: DataFrame) -> DataFrame:
     """(book_slug, idx, text, geometry, raw, codes) of files (book_slug, content) of the older format, a file in one
     task. Null and empty contents have no paragraphs."""
-    return _expanded(files, lambda data: decoded(bytes(data or b"")), "content")
+    return _expanded(files, lambda data: decoded(data or b""), "content")
 
 
 def decode_newer(texts: DataFrame) -> DataFrame:
@@ -115,13 +184,22 @@ def excluded(files: DataFrame) -> DataFrame:
     """(book_slug, isolated, mapped): how many codes stand alone and are left out, and how many of them the code page has."""
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         for b in batches:
-            alone = [[c for pairs, _ in walk(bytes(x or b"")) for c in by_run(pairs)[1]] for x in b.content]
-            yield pd.DataFrame({"book_slug": b.book_slug, "isolated": list(map(len, alone)), "mapped": [sum(c in CODES for c in x) for x in alone]})
+            isolated, mapped = [], []
+            for data in b.column(1):
+                alone = b"".join(r for runs, _ in runs_of(data.as_py() or b"") for r in runs if len(r) == 1)
+                isolated.append(len(alone))
+                mapped.append(len(alone) - len(alone.translate(None, _KNOWN)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(isolated, pa.int64()), pa.array(mapped, pa.int64())], names=["book_slug", "isolated", "mapped"])
+
+    return files.select(F.col("book_slug").cast("string").alias("book_slug"), "content").mapInArrow(run, "book_slug string, isolated bigint, mapped bigint")
+
 
-    return files.select("book_slug", "content").mapInPandas(run, "book_slug string, isolated bigint, mapped bigint")
+def encoded(raw: str) -> bytes:
+    """The same as encoded_again, as bytes."""
+    return codecs.charmap_encode(raw, "ignore", _ENCODING)[0]
 
 
 def encoded_again(raw: str) -> list[int]:

@@ -14,10 +14,26 @@ from folioflow.sources import sinks
 
 def _streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document as a file of the older format: a code for each character, a paragraph for each line."""
-    code = lambda c: F.when(c == "\n", "0D01000000").when(c == " ", "0420").otherwise(F.concat(F.lit("04"), F.hex(129 + F.ascii(c) % 120)))
-    letters = F.filter(F.split("text", ""), lambda c: c != "")
-    content = F.unhex(F.array_join(F.transform(letters, code), ""))
-    return _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("book_slug"), content.alias("content"))
+
+    def coded(line):
+        import numpy as np
+
+        letters = np.frombuffer(line.encode("utf-32-le"), "<u4")
+        out = np.full((len(letters), 2), 4, np.uint8)
+        out[:, 1] = np.where(letters == 32, 32, 129 + letters % 120)
+        return out.tobytes()
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                content = [None if t is None else b"\r\1\0\0\0".join(map(coded, t.decode("utf-8", "replace").split("\n"))) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(content, pa.binary())], names=["book_slug", "content"])
+
+    docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("book_slug"), F.col("text").cast("binary").alias("text"))
+    return docs.mapInArrow(run, "book_slug string, content binary")
 
 
 @_query()
