@@ -1,12 +1,17 @@
-"""The kinds of a book's lines, and what lines above them say of them: windows over each book in its order."""
+"""The kinds of a book's lines, and what lines above them say of them: a book at a time, in its order."""
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioflow.functions import text as X
-from folioflow.operators import ordered
+from folioflow.operators import ordered, sequential
 
 SEPARATOR = "۰۰۰"
 #: Lengths of verse, up to two lines run together, and of prose from.
@@ -65,35 +70,90 @@ def classified(
     dedication is no verse. A null text is an empty one.
     """
     part = list(part)
-    found = with_start(rows.withColumn(text, F.coalesce(F.col(text), F.lit(""))), part, order, text, geometry, separator)
-    t, n, body = X.stripped(F.col(text)), F.length(X.stripped(F.col(text))), F.col(order) >= F.col("start")
-    found = found.withColumn("__line", t)
-    often = F.sum(F.when(body, 1)).over(Window.partitionBy(*part, "__line"))
-    found = found.withColumn("__header", body & header_like(F.col("__line"), separator) & (often > header))
-    known = [X.plain_skeleton(h) for h in headings]
-    kind = (
-        F.when(t == separator, "separator")
-        .when(is_contents(t), "toc")
-        .when(F.col("__header"), "running_header")
-        .when(X.skeleton(t).isin(*known) if known else F.lit(False), "heading")
-        .when(is_colophon(t), "colophon")
-        .when(n >= PROSE, "prose")
-        .when(body & n.between(VERSE[0], TOGETHER), "verse")
-        .when(~body, "front_matter")
-        .otherwise("unknown")
-    )
-    found = found.withColumn("__kind", kind)
-    aside = (F.col("__kind") == "prose") & F.col("__line").startswith("(")
-    group = F.when(F.col("__line").rlike(DEDICATION), None).when(aside, "unknown").when(F.col("__kind").isin("unknown", "prose"), F.col("__kind"))
-    found = ordered.runs(found.withColumn("__group", group), part, [order], "__group", "__run")
-    w = Window.partitionBy(*part).orderBy(order)
-    run = Window.partitionBy(*part, "__run").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    found = found.withColumns({"__before": F.lag("__kind").over(w), "__after": F.lead("__kind").over(w)})
-    enclosed = (F.first("__before").over(run) == "verse") & (F.last("__after").over(run) == "verse")
-    small = (F.col("__group") == "unknown") | (F.count("*").over(run) == 1)
-    bridged = F.col("__group").isNotNull() & enclosed & small
-    out = found.withColumn("kind", F.when(bridged, "verse").otherwise(F.col("__kind")))
-    return out.drop("__line", "__header", "__kind", "__group", "__run", "__before", "__after")
+    known = frozenset(X.plain_skeleton(h) for h in headings)
+    plain = rows.withColumn(text, F.coalesce(F.col(text), F.lit("")))
+
+    def make(table, bounds):
+        import pyarrow as pa
+
+        at, texts, marks = (table.column(c).to_pylist() for c in (order, text, geometry))
+        starts, kinds = [], []
+        for a, b in bounds:
+            start, own = kinds_of(at[a:b], texts[a:b], marks[a:b], known, separator, header)
+            starts += [start] * (b - a)
+            kinds += own
+        return table.append_column("start", pa.array(starts, pa.int64())).append_column("kind", pa.array(kinds, pa.string()))
+
+    return sequential.by_part(plain, part, order, make, T.StructType([*plain.schema, T.StructField("start", T.LongType()), T.StructField("kind", T.StringType())]))
+
+
+def _re(java: str) -> re.Pattern:
+    return re.compile(java.replace(r"\z", r"\Z").replace(".+", r"[^\n\r\x85\u2028\u2029]+"), re.ASCII)
+
+
+_CONTENTS_RE, _YEAR_RE, _MONTH_RE, _DEDICATION_RE = map(_re, (_CONTENTS, _YEAR, _MONTH, DEDICATION))
+
+
+def _letters(line: str, most: int) -> str | None:
+    """The letters and single spaces of a line; None where it has more letters than most."""
+    out, n = [], 0
+    for c in line:
+        if c.isalpha():
+            n += 1
+            if n > most:
+                return None
+            out.append(c)
+        elif c in " \t\r\n":
+            out.append(c)
+    return " ".join("".join(out).split())
+
+
+def _start(at: list[int], texts: list[str], lines: list[str], marks: list, separator: str) -> int:
+    """Where the body of a book begins, as ordered.body_start has it."""
+    fits = [VERSE[0] <= len(t) <= VERSE[1] for t in texts]
+    first = next((n for n in range(len(at) - 3) if all(fits[n + k] and marks[n + k] is not None and (marks[n + k] == 1) == (k % 2 == 1) for k in range(4))), None)
+    if first is None:
+        return len(at)
+    fenced = next((n for n in range(first - 1, -1, -1) if lines[n] == separator), None)
+    if fenced is None or any(len(t) >= PROSE for t in lines[fenced + 1 : first]):
+        return at[first]
+    return at[fenced + 1]
+
+
+def kinds_of(at: list[int], texts: list[str], marks: list, known: frozenset[str], separator: str = SEPARATOR, header: int = HEADER) -> tuple[int, list[str]]:
+    """(start, kinds) of a book's lines in their order; known has the letters of headings."""
+    lines = [t.strip() for t in texts]
+    start = _start(at, texts, lines, marks, separator)
+    often = Counter(t for n, t in zip(at, lines) if n >= start)
+    most = max((sum(map(str.isalpha, k)) for k in known), default=0)
+    kinds = []
+    for n, t in zip(at, lines):
+        body, size = n >= start, len(t)
+        if t == separator:
+            kind = "separator"
+        elif _CONTENTS_RE.match(t):
+            kind = "toc"
+        elif body and t and size < PROSE and often[t] > header:
+            kind = "running_header"
+        elif known and _letters(t, most) in known:
+            kind = "heading"
+        elif size <= COLOPHON and (_YEAR_RE.search(t) or _MONTH_RE.search(t) and not (size > 1 and t[0] == "(" and t[-1] == ")")):
+            kind = "colophon"
+        elif size >= PROSE:
+            kind = "prose"
+        elif body and VERSE[0] <= size <= TOGETHER:
+            kind = "verse"
+        else:
+            kind = "unknown" if body else "front_matter"
+        kinds.append(kind)
+    groups = [None if k not in ("unknown", "prose") or _DEDICATION_RE.match(t) else "unknown" if t[:1] == "(" else k for k, t in zip(kinds, lines)]
+    out, at_ = list(kinds), 0
+    for group, run in groupby(groups):
+        end = at_ + len(list(run))
+        if group and 0 < at_ and end < len(kinds) and kinds[at_ - 1] == kinds[end] == "verse" and (group == "unknown" or end - at_ == 1):
+            out[at_:end] = ["verse"] * (end - at_)
+        at_ = end
+    return start, out
 
 
 def with_sections(rows: DataFrame, part: list[str], order: str, headings: tuple[str, ...] = (), text: str = "text") -> DataFrame:

@@ -49,6 +49,15 @@ def test_runs_and_digits_are_those_of_the_windows():
         assert "".join(turned) == expected and [plain[c] for c in codes] == turned
 
 
+def test_runs_by_an_expression_are_those_of_the_walk():
+    rng = random.Random(6)
+    for _ in range(2000):
+        data = bytes(rng.choices([4, 4, 4, 13, 7, 10, 0x81, 0xD1], k=rng.randint(0, 40)))
+        plain = [(sequential.by_run(pairs)[0], sequential.by_run(pairs)[1], g) for pairs, g in sequential.walk(data)]
+        quick = [([c for r in runs if len(r) > 1 for c in r], [c for r in runs if len(r) == 1 for c in r], g) for runs, g in sequential.runs_of(data)]
+        assert quick == plain
+
+
 def test_code_page_goes_both_ways():
     assert len(CODES) == len(BACK) and all(BACK[c] == k for k, c in CODES.items())
     assert CODES[0x81] == "ا" and CODES[0xA0] == "ن" and CODES[0xD9] == "۹" and CODES[0x20] == " "
@@ -156,6 +165,24 @@ def test_kinds_are_those_of_a_loop(spark):
         assert [got[b, n] for n in range(len(book))] == [(start, k) for k in kinds]
 
 
+def test_kinds_take_one_shuffle_and_books_longer_than_a_batch(spark):
+    rng = random.Random(8)
+    rows = [(b, n, t, g) for b in range(12) for n, (t, g) in enumerate(some_book(rng, rng.randint(1, 40)))]
+    df = spark.createDataFrame(rows, "book_slug int, idx int, text string, geometry bigint")
+    found = classify.classified(df, ["book_slug"], "idx", ("غزلیں",), header=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    whole = sorted(map(tuple, found.collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert sorted(map(tuple, found.collect())) == whole and len(whole) == len(rows)
+        made = assemble.assembled(classify.with_sections(found.withColumn("book_slug", F.col("book_slug").cast("string")), ["book_slug"], "idx", ("غزلیں",)))
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroups" not in plan and made.select("book_slug").distinct().count() == 12
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_sections_and_numbers(spark):
     rows = [("b", 0, "۹۹ ۱۲", "toc", 2), ("b", 1, "۰۰۰", "separator", 2), ("b", 2, "H", "running_header", 2), ("b", 3, "غزلیں", "heading", 2), ("b", 4, "x", "verse", 2), ("b", 5, "I", "running_header", 2), ("c", 0, "x", "verse", 0)]
     df = spark.createDataFrame(rows, "book_slug string, idx int, text string, kind string, start int")
