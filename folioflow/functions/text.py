@@ -31,9 +31,12 @@ def plain_skeleton(text: str) -> str:
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 def stripped(text: Column) -> Column:
     """text without white space of any kind at its ends."""
-    return F.regexp_replace(text, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def words(text: Column) -> Column:
@@ -45,14 +48,24 @@ def lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
-@F.pandas_udf(T.StringType())
-def nfc(texts):
-    return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
+#: Texts that are held as Python's strings at a time.
+SLICE = 256
+
+
+def _each(make):
+    """A function of a column that holds SLICE texts at a time besides the batch and its result."""
+
+    def run(texts):
+        import pyarrow as pa
+
+        made = [pa.array([None if t is None else make(t) for t in texts.slice(n, SLICE).to_pylist()], pa.string()) for n in range(0, len(texts), SLICE)]
+        return pa.concat_arrays(made) if made else texts
+
+    return F.arrow_udf(run, T.StringType())
 
 
-@F.pandas_udf(T.StringType())
-def unescaped(texts):
-    return texts.map(lambda t: None if t is None else html.unescape(t))
+nfc = _each(lambda t: t if t.isascii() else unicodedata.normalize("NFC", t))
+unescaped = _each(html.unescape)
 
 
 _ENDED = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+)|[A-Za-z][A-Za-z0-9]*);")
@@ -63,10 +76,8 @@ def _read(found: re.Match) -> str:
     return html.unescape(mark) if mark[1] == "#" else html5.get(mark[1:], mark)
 
 
-@F.pandas_udf(T.StringType())
-def unescaped_ended(texts):
-    """Entities that a semicolon ends alone: one that was cut off stays as it is, and makes none with what comes next."""
-    return texts.map(lambda t: t if t is None or "&" not in t else _ENDED.sub(_read, t))
+#: Entities that a semicolon ends alone: one that was cut off stays as it is, and makes none with what comes next.
+unescaped_ended = _each(lambda t: _ENDED.sub(_read, t) if "&" in t else t)
 
 
 def folded(text: Column) -> Column:
