@@ -41,7 +41,7 @@ def opening(body: Column) -> Column:
 def flag_garbage(pieces: DataFrame, lexicon: DataFrame, key: list[str], known: float = 0.4, short: float = 0.6, least: int = 12) -> DataFrame:
     """pieces with flags and evidence: of at least so many words, too few are in the lexicon (word), or else too many
     have two letters at most. Words are counted by piece and joined once."""
-    words = pieces.select(*key, F.explode(X.words(F.col("body"))).alias("word")).groupBy(*key, "word").agg(F.count("*").alias("k"))
+    words = checks.word_counts(pieces, key, "body")
     found = words.join(lexicon.select("word").distinct().withColumn("__in", F.lit(1)), "word", "left")
     shares = found.groupBy(*key).agg(
         F.sum("k").alias("__n"), (F.sum(F.when(F.col("__in") == 1, F.col("k")).otherwise(0)) / F.sum("k")).alias("__known"), (F.sum(F.when(F.length("word") <= 2, F.col("k")).otherwise(0)) / F.sum("k")).alias("__short")

@@ -123,6 +123,13 @@ def test_publish_status(spark):
     assert got == {1: "refused", 2: "skipped", 3: "differs", 4: "new"}
 
 
+def test_words_are_counted_without_a_shuffle(spark):
+    df = spark.createDataFrame([(1, "a b a é"), (1, "a, 7"), (2, None), (3, " "), (None, "b")], "id int, text string")
+    found = checks.word_counts(df, ["id"], "text")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([(1, "a", 2), (1, "b", 1), (1, "é", 1), (1, "a", 1), (None, "b", 1)], key=str)
+
+
 def test_poems(spark):
     first = [("moon rise", "sun rise"), ("x one", "late rise"), ("y two", "dawn rise"), ("z three Zed", "noon rise")]
     second = [("red wall", "tall wall"), ("p", "small wall"), ("q", "old wall")]
